@@ -1,16 +1,16 @@
 """Connected groups of near-duplicates from candidate buckets, without listing all pairs of a bucket.
 
-Each round every item proposes one pair: itself and the member with the smallest round hash that it meets in any of its
-buckets and that is not yet in its group. Verified pairs merge groups. In buckets that still hold several groups, the last step
-pairs every item outside the bucket's largest group with every item of another group, less what was tried before:
-so each candidate pair is either within a group or has been verified, and the groups are exact for the candidates.
+First every item proposes one pair: itself and the best-connected member of its buckets. Verified pairs merge groups. In buckets that
+still hold several groups, rounds of hashed picks pair every item outside the largest group with a member of it and of the others, and the
+last step tests such items against every member of another group, first by a cheap bound:
+so each candidate pair is either within a group or has been tested, and the groups are exact for the candidates.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import drop, release, save
@@ -46,44 +46,61 @@ def relabel(comp: DataFrame | None, links: DataFrame) -> DataFrame:
     return save(every.join(top.select(F.col("id").alias("root"), F.col("root").alias("up")), "root", "left").select("id", F.coalesce("up", "root").alias("root")))
 
 
-def connect(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], rounds: int = 2, extra: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame | None:
+def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Column], Column], near: Callable[[Column, Column], Column], rounds: int = 3) -> DataFrame | None:
     """(id, root) of all items in groups of at least two.
 
-    buckets: (key, id), keys shared by at least two items, written. verify: (a, b) with a < b -> the linked ones.
-    extra: drops pairs of the last step that a cheap exact bound rules out.
+    buckets: (key, id, sig), keys shared by at least two items, written. payload: (id, x) of these items.
+    linked: whether two payloads are linked, exactly. near: whether two sigs may belong to linked items; both tests stand inside the last step's join,
+    which so makes a row for a link only.
     """
+    spark = buckets.sparkSession
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        a, b = (payload.select(F.col("id").alias(k), F.col("x").alias(f"x{k}")) for k in "ab")
+        return pairs.join(a, "a").join(b, "b").filter(linked(F.col("xa"), F.col("xb"))).select("a", "b")
+
+    degree = buckets.join(buckets.groupBy("key").agg(F.count("*").alias("n")), "key").groupBy("id").agg(F.sum("n").alias("deg"))
+    # first pairs go to the best-connected member an item meets: the centre of a group of copies, if it is there
+    hub = buckets.join(degree, "id").groupBy("key").agg(F.max(F.struct("deg", (-F.col("id")).alias("m"))).alias("x"))
+    met = buckets.join(hub, "key").filter(F.col("id") != -F.col("x.m")).groupBy("id").agg(F.max("x").alias("x"))
+    pairs = save(met.select(F.least("id", -F.col("x.m")).alias("a"), F.greatest("id", -F.col("x.m")).alias("b")).distinct())
     comp, tried, live = None, None, buckets
-    for r in range(rounds + 1):
-        if comp is not None:
-            held = live.join(comp, "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
-            mixed = held.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-            held = save(held.join(mixed, "key"))
-        else:
-            held = live.withColumn("root", F.col("id"))
-        if r < rounds:
-            h = F.xxhash64("id", F.lit(r))
-            pivot = held.groupBy("key").agg(F.min(F.struct(h.alias("h"), F.col("id").alias("p"), F.col("root").alias("pr"))).alias("x"))
-            met = held.join(pivot, "key").filter("root <> x.pr").groupBy("id").agg(F.min("x").alias("x"))
-            pairs = met.select(F.least("id", "x.p").alias("a"), F.greatest("id", "x.p").alias("b")).distinct()
-        else:
-            size = held.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "root")).alias("x")).select("key", F.col("x.root").alias("main"))
-            marked = held.join(size, "key")
-            minor = marked.filter("root <> main").select("key", F.col("id").alias("i"), F.col("root").alias("ri"))
-            full = marked.select("key", F.col("id").alias("j"), F.col("root").alias("rj"), (F.col("root") == F.col("main")).alias("big"))
-            both = minor.join(full, (minor["key"] == full["key"]) & (F.col("ri") != F.col("rj")) & (F.col("big") | (F.col("i") < F.col("j"))))
-            pairs = both.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        if r == rounds and extra is not None:
-            pairs = extra(pairs)
-        pairs = save(pairs)
+    for r in range(1, rounds + 2):
         links = save(verify(pairs))
-        release(buckets.sparkSession)
+        release(spark)
         if links.limit(1).count():
-            comp = relabel(comp, links)
+            old, comp = comp, relabel(comp, links)
+            drop(old)
         drop(links)
         tried = pairs if tried is None else tried.unionByName(pairs)
-        if r and held.limit(1).count() == 0:
-            return comp
-        live = held.select("key", "id")
+        held = live.select("key", "id", "sig")
+        held = held.join(comp, "id", "left").select("key", "id", "sig", F.coalesce("root", "id").alias("root")) if comp is not None else held.withColumn("root", F.col("id"))
+        mixed = held.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
+        new = save(held.join(mixed, "key"))
+        drop(live if live is not buckets else None)
+        live = new
+        if not live.limit(1).count():
+            break
+        main = live.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "root")).alias("x")).select("key", F.col("x.root").alias("main"))
+        marked = live.join(main, "key")
+        minor = marked.filter("root <> main")
+        if r <= rounds:
+            # each item outside its bucket's largest group meets one member of that group and one of the others, both picked by a hash of round and bucket
+            pick = F.min(F.struct(F.xxhash64("id", "key", F.lit(r)).alias("h"), F.col("id").alias("p"), F.col("root").alias("pr")))
+            picked = marked.groupBy("key", (F.col("root") == F.col("main")).alias("big")).agg(pick.alias("x"))
+            two = minor.join(picked, "key").filter("root <> x.pr").select(F.least("id", "x.p").alias("a"), F.greatest("id", "x.p").alias("b"))
+            pairs = two.distinct()
+        else:
+            own = payload.select("id", "x")
+            i = minor.join(own, "id").select("key", F.col("id").alias("i"), F.col("root").alias("ri"), F.col("sig").alias("si"), F.col("x").alias("xi"))
+            j = marked.join(own, "id").select("key", F.col("id").alias("j"), F.col("root").alias("rj"), F.col("sig").alias("sj"), F.col("x").alias("xj"), (F.col("root") == F.col("main")).alias("big"))
+            test = near(F.col("si"), F.col("sj")) & linked(F.col("xi"), F.col("xj"))
+            both = i.join(j, (i["key"] == j["key"]) & (F.col("ri") != F.col("rj")) & (F.col("big") | (F.col("i") < F.col("j"))) & test)
+            links = save(both.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).distinct())
+            if links.limit(1).count():
+                comp = relabel(comp, links)
+            drop(links)
+            break
+        pairs = save(pairs.join(tried, ["a", "b"], "left_anti"))
+    drop(live if live is not buckets else None)
     return comp
