@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .strings import latin_fold
 
@@ -26,18 +27,18 @@ INDIC = {
 }
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc_casefold(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else x.casefold() if x.isascii() else unicodedata.normalize("NFKC", x).casefold())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold_accents(s: pd.Series) -> pd.Series:
     """Marks on Latin letters go, others stay."""
     return s.map(lambda x: x if x is None or x.isascii() else latin_fold(x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def retrieval_fold(s: pd.Series) -> pd.Series:
     """Compatibility forms without any combining mark, case-folded."""
     return s.map(lambda x: None if x is None else x.casefold() if x.isascii() else "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)).casefold())
