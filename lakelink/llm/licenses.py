@@ -65,19 +65,19 @@ def scan(files: DataFrame, id_col: str = "file_id", path_col: str = "path", text
     whole = F.coalesce(F.col("_p").rlike(LICENSE_FILE), F.lit(False))
     lines = F.filter(F.split("_t", "\n"), lambda x: x.rlike(CUE))
     segments = F.when(whole, F.concat(F.array("_t"), lines)).otherwise(lines)
-    keyed = f.select("_i", "_p", F.explode(F.array_distinct(segments)).alias("_x"))
-    # equal notices are compared once, however many files hold them
-    distinct = keyed.select("_x").distinct()
+    keyed = f.select("_i", "_p", F.explode(F.array_distinct(segments)).alias("_s")).withColumn("_x", F.sha2("_s", 256))
+    # equal notices are compared once, however many files hold them; their digest stands for them in rows of terms
+    distinct = keyed.select("_x", "_s").distinct()
     known = F.broadcast(templates(spark, notices))
     n = len(notices or TEMPLATES)
-    tf = distinct.select("_x", F.explode(terms(F.col("_x"))).alias("term")).groupBy("_x", "term").agg(F.count("*").alias("tf"))
+    tf = distinct.select("_x", F.explode(terms(F.col("_s"))).alias("term")).groupBy("_x", "term").agg(F.count("*").alias("tf"))
     idf = known.groupBy("term").agg(F.max("idf").alias("idf"))
     tf = tf.join(F.broadcast(idf), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(0.0) + F.log(F.lit(1.0 + n)) + 1.0))
     norm = tf.groupBy("_x").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dots = tf.join(known.select("template", "license", "term", F.col("w").alias("tw")), "term").groupBy("_x", "template", "license").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
     cosine = dots.join(norm, "_x").select("_x", "license", F.round(F.col("dot") / F.col("norm"), 9).alias("score"))
     best = cosine.groupBy("_x").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b"))
-    own = keyed.join(best, "_x").groupBy("_i", "_p").agg(F.min("b").alias("b"))
+    own = keyed.drop("_s").join(best, "_x").groupBy("_i", "_p").agg(F.min("b").alias("b"))
     own = own.select("_i", "_p", (-F.col("b.minus")).alias("own_score"), F.when(-F.col("b.minus") >= threshold, F.col("b.license")).alias("own_license"))
     # nearest ancestor: directories that hold licence files, joined with every distinct directory's ancestors
     holds = own.filter(F.col("_p").rlike(LICENSE_FILE) & F.col("own_license").isNotNull()).groupBy(directory(F.col("_p")).alias("above")).agg(F.min(F.struct((-F.col("own_score")).alias("m"), "own_license")).alias("h")).select("above", F.col("h.own_license").alias("inherited"))
