@@ -4,6 +4,9 @@ First every item proposes one pair: itself and the best-connected member of its
 still hold several groups, rounds of hashed picks pair every item outside the largest group with a member of it and of the others, and the
 last step tests such items against every member of another group, first by a cheap bound:
 so each candidate pair is either within a group or has been tested, and the groups are exact for the candidates.
+
+Payloads that are sets have a bound that spares the last step most near copies just below the threshold: elements that no other
+candidate holds cannot be shared, so an item goes on only if its bucket has a set of a size with which the others can suffice.
 """
 
 from __future__ import annotations
@@ -46,12 +49,28 @@ def relabel(comp: DataFrame | None, links: DataFrame) -> DataFrame:
     return save(every.join(top.select(F.col("id").alias("root"), F.col("root").alias("up")), "root", "left").select("id", F.coalesce("up", "root").alias("root")))
 
 
-def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Column], Column], near: Callable[[Column, Column], Column], rounds: int = 3) -> DataFrame | None:
+def sizes(payload: DataFrame, live: DataFrame) -> DataFrame:
+    """(id, n, most) of the items of live: the size of the set x and how many of its elements another of these sets holds."""
+    held = payload.join(live.select("id").distinct(), "id", "left_semi")
+    alone = held.select("id", F.explode("x").alias("e")).groupBy("e").agg(F.count("*").alias("c"), F.min("id").alias("id")).filter("c = 1")
+    alone = alone.groupBy("id").agg(F.count("*").alias("own"))
+    return held.select("id", F.size("x").alias("n")).join(alone, "id", "left").select("id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most"))
+
+
+def promising(minor: DataFrame, marked: DataFrame, fits: Callable[[Column, Column, Column, Column], Column]) -> DataFrame:
+    """Rows of minor that fit some size of another group's sets in their bucket. A bucket has one row for each size, not for each item."""
+    there = marked.groupBy(F.col("key").alias("k2"), F.col("n").alias("n2")).agg(F.max("most").alias("most2"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    other = (F.col("lo") != F.col("root")) | (F.col("hi") != F.col("root"))
+    return minor.join(there, (F.col("key") == F.col("k2")) & other & fits(F.col("n"), F.col("most"), F.col("n2"), F.col("most2")), "left_semi")
+
+
+def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Column], Column], near: Callable[[Column, Column], Column], rounds: int = 3, fits: Callable[[Column, Column, Column, Column], Column] | None = None) -> DataFrame | None:
     """(id, root) of all items in groups of at least two.
 
     buckets: (key, id, sig), keys shared by at least two items, written. payload: (id, x) of these items.
     linked: whether two payloads are linked, exactly. near: whether two sigs may belong to linked items; both tests stand inside the last step's join,
-    which so makes a row for a link only.
+    which so makes a row for a link only. fits, for payloads that are sets: whether sets of sizes n and n2, of which most and most2 elements are
+    shared with anyone, can be linked; it must allow more for larger most2.
     """
     spark = buckets.sparkSession
 
@@ -91,15 +110,25 @@ def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Co
             two = minor.join(picked, "key").filter("root <> x.pr").select(F.least("id", "x.p").alias("a"), F.greatest("id", "x.p").alias("b"))
             pairs = two.distinct()
         else:
-            own = payload.select("id", "x")
-            i = minor.join(own, "id").select("key", F.col("id").alias("i"), F.col("root").alias("ri"), F.col("sig").alias("si"), F.col("x").alias("xi"))
-            j = marked.join(own, "id").select("key", F.col("id").alias("j"), F.col("root").alias("rj"), F.col("sig").alias("sj"), F.col("x").alias("xj"), (F.col("root") == F.col("main")).alias("big"))
+            own, extra, sized = payload.select("id", "x"), [], None
             test = near(F.col("si"), F.col("sj")) & linked(F.col("xi"), F.col("xj"))
+            if fits is not None:
+                extra = ["n", "most"]
+                sized = save(sizes(payload, live))
+                marked = marked.join(sized, "id")
+                minor = save(promising(marked.filter("root <> main"), marked, fits))
+                if not minor.limit(1).count():
+                    drop(sized, minor)
+                    break
+                marked = marked.join(minor.select("key").distinct(), "key", "left_semi")
+                test = fits(F.col("ni"), F.col("mosti"), F.col("nj"), F.col("mostj")) & test
+            i = minor.join(own, "id").select("key", F.col("id").alias("i"), F.col("root").alias("ri"), F.col("sig").alias("si"), F.col("x").alias("xi"), *(F.col(c).alias(c + "i") for c in extra))
+            j = marked.join(own, "id").select("key", F.col("id").alias("j"), F.col("root").alias("rj"), F.col("sig").alias("sj"), F.col("x").alias("xj"), (F.col("root") == F.col("main")).alias("big"), *(F.col(c).alias(c + "j") for c in extra))
             both = i.join(j, (i["key"] == j["key"]) & (F.col("ri") != F.col("rj")) & (F.col("big") | (F.col("i") < F.col("j"))) & test)
             links = save(both.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).distinct())
             if links.limit(1).count():
                 comp = relabel(comp, links)
-            drop(links)
+            drop(links, sized, minor)
             break
         pairs = save(pairs.join(tried, ["a", "b"], "left_anti"))
     drop(live if live is not buckets else None)
