@@ -5,7 +5,7 @@ still hold several groups, rounds of hashed picks pair every item outside the la
 last step tests such items against every member of another group, first by a cheap bound:
 so each candidate pair is either within a group or has been tested, and the groups are exact for the candidates.
 
-Payloads that are sets have a bound that spares the last step most near copies just below the threshold: elements that no other
+Payloads that are sets have a bound that spares the rounds most near copies just below the threshold: elements that no other
 candidate holds cannot be shared, so an item goes on only if its bucket has a set of a size with which the others can suffice.
 """
 
@@ -83,7 +83,7 @@ def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Co
     hub = buckets.join(degree, "id").groupBy("key").agg(F.max(F.struct("deg", (-F.col("id")).alias("m"))).alias("x"))
     met = buckets.join(hub, "key").filter(F.col("id") != -F.col("x.m")).groupBy("id").agg(F.max("x").alias("x"))
     pairs = save(met.select(F.least("id", -F.col("x.m")).alias("a"), F.greatest("id", -F.col("x.m")).alias("b")).distinct())
-    comp, tried, live = None, None, buckets
+    comp, tried, live, sized, bounded = None, None, buckets, None, None
     for r in range(1, rounds + 2):
         links = save(verify(pairs))
         release(spark)
@@ -103,6 +103,14 @@ def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Co
         main = live.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "root")).alias("x")).select("key", F.col("x.root").alias("main"))
         marked = live.join(main, "key")
         minor = marked.filter("root <> main")
+        if fits is not None:
+            sized = sized or save(sizes(payload, live))  # those of more candidates than are left, so the bound holds
+            marked = marked.join(sized, "id")
+            drop(bounded)
+            minor = bounded = save(promising(marked.filter("root <> main"), marked, fits))
+            if not minor.limit(1).count():
+                break
+            marked = marked.join(minor.select("key").distinct(), "key", "left_semi")
         if r <= rounds:
             # each item outside its bucket's largest group meets one member of that group and one of the others, both picked by a hash of round and bucket
             pick = F.min(F.struct(F.xxhash64("id", "key", F.lit(r)).alias("h"), F.col("id").alias("p"), F.col("root").alias("pr")))
@@ -110,17 +118,9 @@ def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Co
             two = minor.join(picked, "key").filter("root <> x.pr").select(F.least("id", "x.p").alias("a"), F.greatest("id", "x.p").alias("b"))
             pairs = two.distinct()
         else:
-            own, extra, sized = payload.select("id", "x"), [], None
+            own, extra = payload.select("id", "x"), ["n", "most"] if fits is not None else []
             test = near(F.col("si"), F.col("sj")) & linked(F.col("xi"), F.col("xj"))
             if fits is not None:
-                extra = ["n", "most"]
-                sized = save(sizes(payload, live))
-                marked = marked.join(sized, "id")
-                minor = save(promising(marked.filter("root <> main"), marked, fits))
-                if not minor.limit(1).count():
-                    drop(sized, minor)
-                    break
-                marked = marked.join(minor.select("key").distinct(), "key", "left_semi")
                 test = fits(F.col("ni"), F.col("mosti"), F.col("nj"), F.col("mostj")) & test
             i = minor.join(own, "id").select("key", F.col("id").alias("i"), F.col("root").alias("ri"), F.col("sig").alias("si"), F.col("x").alias("xi"), *(F.col(c).alias(c + "i") for c in extra))
             j = marked.join(own, "id").select("key", F.col("id").alias("j"), F.col("root").alias("rj"), F.col("sig").alias("sj"), F.col("x").alias("xj"), (F.col("root") == F.col("main")).alias("big"), *(F.col(c).alias(c + "j") for c in extra))
@@ -128,8 +128,8 @@ def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Co
             links = save(both.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).distinct())
             if links.limit(1).count():
                 comp = relabel(comp, links)
-            drop(links, sized, minor)
+            drop(links)
             break
         pairs = save(pairs.join(tried, ["a", "b"], "left_anti"))
-    drop(live if live is not buckets else None)
+    drop(live if live is not buckets else None, sized, bounded)
     return comp
