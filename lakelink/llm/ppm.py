@@ -40,10 +40,8 @@ class Model:
         texts = [np.frombuffer(samples[k], np.uint8).astype(np.uint64) for k in self.langs]
         self.child = np.zeros((1, 256), np.int32)
         below = {0: 0}  # context -> node, one order up
-        own: list[np.ndarray] = []
         rows: list[np.ndarray] = []
-        escaped: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
+        before = escaped = counts = np.zeros((0, 256, len(texts)))  # of the next lower order, which is all that an order needs
         for k in range(order + 1):
             found = []
             for t in texts:
@@ -58,7 +56,8 @@ class Model:
             here = {int(c): len(self.child) * (k > 0) + i for i, c in enumerate(contexts)}
             if k:
                 self.child = np.vstack([self.child, np.zeros((len(contexts), 256), np.int32)])
-            p, f_out, c_out, o_out = (np.zeros((len(contexts), 256, len(texts)), np.float64) for _ in range(4))
+            p = np.zeros((len(contexts), 256, len(texts)))
+            f_out, c_out = (np.zeros(p.shape if k < order else (0, 256, len(texts))) for _ in range(2))
             parents = np.array([below[int(c) >> 8] for c in contexts], np.int64) if k else np.zeros(len(contexts), np.int64)
             if k:
                 self.child[parents, (contexts & np.uint64(255)).astype(np.int64)] = list(here.values())
@@ -79,28 +78,28 @@ class Model:
                     total0 = np.where(total > 0, distinct * ~full / whole, 1.0)
                 else:
                     at = parents - self.base
-                    up = counts[-1][at, :, li] * ~seen
+                    up = counts[at, :, li] * ~seen
                     up_seen = up > 0
                     n_e, d_e = up.sum(1, keepdims=True), up_seen.sum(1, keepdims=True)
-                    offered = counts[-1][at, :, li] > 0
-                    rest = escaped[-1][at, :, li]
+                    offered = counts[at, :, li] > 0
+                    rest = escaped[at, :, li]
                     left = (rest * ~offered).sum(1, keepdims=True) > 0
                     d_esc = d_e * left
                     fallback = np.where(up_seen, up / np.maximum(n_e + d_esc, 1), np.where(offered, 0, rest * np.where(d_e > 0, d_esc / np.maximum(n_e + d_esc, 1), 1.0)))
                     total0 = distinct * ~full / whole
                 dist = np.where(seen, count / whole, fallback * total0)
                 if k:
-                    dist[~mine] = rows[-1][at[~mine], :, li]
-                    fallback[~mine] = escaped[-1][at[~mine], :, li]
-                    count[~mine] = counts[-1][at[~mine], :, li]
-                p[:, :, li], f_out[:, :, li], c_out[:, :, li] = dist, fallback, count
-            rows.append(p)
-            escaped.append(f_out)
-            counts.append(c_out)
+                    dist[~mine] = before[at[~mine], :, li]
+                    fallback[~mine] = escaped[at[~mine], :, li]
+                    count[~mine] = counts[at[~mine], :, li]
+                p[:, :, li] = dist
+                if k < order:
+                    f_out[:, :, li], c_out[:, :, li] = fallback, count
+            rows.append(np.log2(np.maximum(p, 1e-30)).astype(np.float32))
+            before, escaped, counts = p, f_out, c_out
             self.base = len(self.child) - len(contexts)
             below = here
-        table = np.concatenate(rows) if texts else np.zeros((1, 256, 0))
-        self.logp = np.log2(np.maximum(table, 1e-30)).astype(np.float32)
+        self.logp = np.concatenate(rows) if texts else np.zeros((1, 256, 0), np.float32)
 
     def bits(self, off: np.ndarray, raw: np.ndarray) -> np.ndarray:
         """Code length in bits of each text under each language."""
@@ -124,8 +123,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Fit on a bounded sample of the labelled rows of docs, at most most_langs languages (the most frequent)."""
     named = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) <= longest) & F.col(text_col).rlike(r"\p{L}"))
     keyed = named.select(F.col(lang_col).alias("l"), F.col(id_col).alias("i"), F.xxhash64(F.col(id_col).cast("string"), F.lit(7)).alias("h"))
+    # about twice the rows wanted of each language pass a cut of the hash, so that ranking them needs no language in one place
+    top = keyed.groupBy("l").agg(F.approx_count_distinct("h").alias("n")).orderBy(F.desc("n"), "l").limit(most_langs).collect()
+    cuts = docs.sparkSession.createDataFrame([(r.l, min(1.0, (2 * rows_per_lang + 50) / r.n)) for r in top], "l string, cut double")
+    passed = keyed.join(F.broadcast(cuts), "l").filter(F.shiftrightunsigned("h", 11) / float(1 << 53) < F.col("cut")).drop("cut")
     rank = Window.partitionBy("l").orderBy("h", "i")
-    chosen = keyed.withColumn("n", F.row_number().over(rank)).filter(F.col("n") <= rows_per_lang)
+    chosen = passed.withColumn("n", F.row_number().over(rank)).filter(F.col("n") <= rows_per_lang)
     ids = chosen.select("l", "i", "h").orderBy("l", "h", "i").limit(rows_per_lang * most_langs).collect()
     order_of = {(r.l, r.i): k for k, r in enumerate(ids)}
     got = named.filter(F.col(id_col).isin([r.i for r in ids if r.i is not None])).select(F.col(lang_col), F.col(id_col), F.lower(text_col)).limit(4 * rows_per_lang * most_langs).collect() if ids else []
