@@ -22,6 +22,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # as pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,6 +84,8 @@ class Encoder:
         ends = np.cumsum(size)
         self.begins = np.zeros(1 << 20, bool)  # by the top bits of a hash: whether any piece may begin so
         self.begins[(self.hashes(codes, ends - size, ends) >> np.uint64(44)).astype(np.int64)] = True
+        self.spells = pa.array([bytes([self.p.byte_of[i]]) if i in self.p.byte_of else b"" if i in pieces.special else x.replace(SPACE, " ").encode("utf-8", "surrogatepass") for i, x in enumerate(pieces.pieces)], pa.binary())
+        self.spelled_size = np.diff(np.frombuffer(self.spells.buffers()[1], np.int32)[: self.n]).astype(np.int64)
         self.forget()
 
     @staticmethod
@@ -216,15 +219,18 @@ class Encoder:
         count = used.sum(0)
         flat = tokens.T[used.T]
         if odd.any():
-            parts = np.split(flat, np.cumsum(count)[:-1])
-            for r in np.flatnonzero(odd):
-                parts[r], i = [], 0
+            parts: list[int] = []
+            others, size_of = flat[np.repeat(~odd, count)], count.copy()
+            for r in np.flatnonzero(odd).tolist():
+                before, i = len(parts), 0
                 for t in tokens[:, r][used[:, r]].tolist():
                     j = i + 1 if t == self.n - 1 else i + len(self.p.pieces[t])
-                    parts[r] += self.spelled(words[r][i:j]) if t == self.n - 1 else [t]
+                    parts += self.spelled(words[r][i:j]) if t == self.n - 1 else [t]
                     i = j
-            count = np.array([len(x) for x in parts])
-            flat = np.concatenate([np.asarray(x, np.int64) for x in parts])
+                size_of[r] = len(parts) - before
+            count, flat = size_of, np.zeros(int(size_of.sum()), np.int64)
+            own = np.repeat(odd, count)
+            flat[own], flat[~own] = parts, others
         return count, flat
 
     def weight(self, t: np.ndarray) -> np.ndarray | float:
@@ -330,6 +336,15 @@ class Encoder:
         self.kept, self.used = np.zeros(1 << 16, np.int32), 0
         self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def restores(self, texts: list[str | None], ids: pa.ListArray) -> list[bool]:
+        """Whether the ids of each text spell it, byte for byte."""
+        flat = ids.values
+        size = np.concatenate([[0], np.cumsum(self.spelled_size[flat.to_numpy()])])
+        at = size[np.frombuffer(ids.buffers()[1], np.int32)[: len(texts) + 1]].tolist()
+        raw = memoryview(pa.compute.take(self.spells, flat).buffers()[2] or b"").cast("B")  # Arrow says signed bytes
+        # the dummy prefix is the first byte
+        return [t is None or raw[a + (a < b and raw[a] == 32) : b] == t.encode("utf-8", "surrogatepass") for t, a, b in zip(texts, at, at[1:])]
+
     def decode(self, ids: list[int] | None) -> str | None:
         if ids is None:
             return None
@@ -378,10 +393,8 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", *, out: str
                 part = batch.slice(i, rows_at_once)
                 texts = part.column(text_col).to_pylist()
                 ids = e.encode(texts)
-                lists = ids.to_pylist()
-                same = [t is None or e.decode(x) == t for t, x in zip(texts, lists)]
-                n = [None if x is None else len(x) for x in lists]
-                yield pa.RecordBatch.from_arrays([*part.columns, ids, pa.array(n, pa.int32()), pa.array(same)], [*part.schema.names, *names])
+                same = e.restores(texts, ids)
+                yield pa.RecordBatch.from_arrays([*part.columns, ids, pa.compute.list_value_length(ids), pa.array(same, pa.bool_())], [*part.schema.names, *names])
 
     return docs.mapInArrow(run, schema)
 
