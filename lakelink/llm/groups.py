@@ -64,13 +64,13 @@ def promising(minor: DataFrame, marked: DataFrame, fits: Callable[[Column, Colum
     return minor.join(there, (F.col("key") == F.col("k2")) & other & fits(F.col("n"), F.col("most"), F.col("n2"), F.col("most2")), "left_semi")
 
 
-def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Column], Column], near: Callable[[Column, Column], Column], rounds: int = 3, fits: Callable[[Column, Column, Column, Column], Column] | None = None) -> DataFrame | None:
+def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Column], Column], near: Callable[[Column, Column], Column], rounds: int = 3, fits: Callable[[Column, Column, Column, Column], Column] | None = None, sift: bool = False) -> DataFrame | None:
     """(id, root) of all items in groups of at least two.
 
     buckets: (key, id, sig), keys shared by at least two items, written. payload: (id, x) of these items.
     linked: whether two payloads are linked, exactly. near: whether two sigs may belong to linked items; both tests stand inside the last step's join,
     which so makes a row for a link only. fits, for payloads that are sets: whether sets of sizes n and n2, of which most and most2 elements are
-    shared with anyone, can be linked; it must allow more for larger most2.
+    shared with anyone, can be linked; it must allow more for larger most2. sift: drop pairs that are not near before their payloads are read.
     """
     spark = buckets.sparkSession
 
@@ -80,8 +80,8 @@ def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Co
 
     degree = buckets.join(buckets.groupBy("key").agg(F.count("*").alias("n")), "key").groupBy("id").agg(F.sum("n").alias("deg"))
     # first pairs go to the best-connected member an item meets: the centre of a group of copies, if it is there
-    hub = buckets.join(degree, "id").groupBy("key").agg(F.max(F.struct("deg", (-F.col("id")).alias("m"))).alias("x"))
-    met = buckets.join(hub, "key").filter(F.col("id") != -F.col("x.m")).groupBy("id").agg(F.max("x").alias("x"))
+    hub = buckets.join(degree, "id").groupBy("key").agg(F.max(F.struct("deg", (-F.col("id")).alias("m"), *(["sig"] if sift else []))).alias("x"))
+    met = buckets.join(hub, "key").filter(F.col("id") != -F.col("x.m")).filter(near(F.col("sig"), F.col("x.sig")) if sift else F.lit(True)).groupBy("id").agg(F.max("x").alias("x"))
     pairs = save(met.select(F.least("id", -F.col("x.m")).alias("a"), F.greatest("id", -F.col("x.m")).alias("b")).distinct())
     comp, tried, live, sized, bounded = None, None, buckets, None, None
     for r in range(1, rounds + 2):
@@ -113,9 +113,9 @@ def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Co
             marked = marked.join(minor.select("key").distinct(), "key", "left_semi")
         if r <= rounds:
             # each item outside its bucket's largest group meets one member of that group and one of the others, both picked by a hash of round and bucket
-            pick = F.min(F.struct(F.xxhash64("id", "key", F.lit(r)).alias("h"), F.col("id").alias("p"), F.col("root").alias("pr")))
+            pick = F.min(F.struct(F.xxhash64("id", "key", F.lit(r)).alias("h"), F.col("id").alias("p"), F.col("root").alias("pr"), *(["sig"] if sift else [])))
             picked = marked.groupBy("key", (F.col("root") == F.col("main")).alias("big")).agg(pick.alias("x"))
-            two = minor.join(picked, "key").filter("root <> x.pr").select(F.least("id", "x.p").alias("a"), F.greatest("id", "x.p").alias("b"))
+            two = minor.join(picked, "key").filter("root <> x.pr").filter(near(F.col("sig"), F.col("x.sig")) if sift else F.lit(True)).select(F.least("id", "x.p").alias("a"), F.greatest("id", "x.p").alias("b"))
             pairs = two.distinct()
         else:
             own, extra = payload.select("id", "x"), ["n", "most"] if fits is not None else []
