@@ -6,8 +6,9 @@ first, ties to the larger weight, then the name. On one processor this meets eve
 a source has had w * t blocks to within less than one. Weights are whole shares of `resolution`; the schedule repeats after
 that many slots, so one period is computed on the driver and every block finds its slot by arithmetic.
 
-The mix goes on as long as every source has a block when its turn comes: `in_mix` marks those slots. Rows beyond have their
-slot too. Block order within a source is by hash of the id: a random order that is the same in every run.
+The schedule holds as long as every source has a block when its turn comes: `in_mix` marks those slots. Then the sources that
+have run out leave it, the weights of the others become shares anew and their schedule goes on from that slot, until every block of every
+source has one slot, its own, and the slots have no gap. Block order within a source is by hash of the id: a random order that is the same in every run.
 
 Rows: a null source is a source of its own; null ids and repeated rows are kept and ordered by their hash; an
 empty table gives an empty result; a source with a target but no rows is an error only if `strict`, and is left out else.
@@ -16,9 +17,10 @@ empty table gives an empty result; a source with a target but no rows is an erro
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_left
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -56,6 +58,40 @@ def period(share: dict[str, int]) -> list[tuple[str, int, int]]:
     return out
 
 
+def stretch(share: dict[str, int], left: dict[str, int]) -> tuple[dict[str, list[int]], int]:
+    """Slots of each source's blocks in the first period, and the first slot at which a source has no block of `left` when its turn comes."""
+    n = sum(share.values())
+    slots: dict[str, list[int]] = {s: [] for s in share}
+    later = [(0, s) for s in sorted(share)]  # release of the next block
+    ready: list[tuple[int, int, str]] = []
+    for slot in range(n):
+        while later and later[0][0] <= slot:
+            _, s = heapq.heappop(later)
+            heapq.heappush(ready, (-(-(len(slots[s]) + 1) * n // share[s]), -share[s], s))
+        s = heapq.heappop(ready)[2]
+        if len(slots[s]) == left[s]:
+            return slots, slot
+        slots[s].append(slot)
+        heapq.heappush(later, (len(slots[s]) * n // share[s], s))
+    return slots, min(left[s] // a * n + slots[s][left[s] % a] for s, a in share.items())
+
+
+def phases(blocks: dict[str, int], target: dict[str, float], resolution: int) -> list[tuple[str, int, int, int, int, int, list[int]]]:
+    """(source, first block, block after the last, first slot, period, share, slots in the period) of every phase; a phase ends when a source runs out."""
+    out, base, done = [], 0, dict.fromkeys(target, 0)
+    while left := {s: blocks[s] - done[s] for s in target if blocks[s] > done[s]}:
+        share = shares({s: target[s] for s in left}, max(resolution or max(1000, 50 * len(left)), len(left)))
+        n = sum(share.values())
+        slots, until = stretch(share, left)
+        for s, a in share.items():
+            had = until // n * a + bisect_left(slots[s], until % n)
+            if had:
+                out.append((s, done[s], done[s] + had, base, n, a, slots[s]))
+                done[s] += had
+        base += until
+    return out
+
+
 def tempered(counts: dict[str, int], temperature: float) -> dict[str, float]:
     """Weights in proportion to count ** temperature: 1 keeps the sizes' shares, 0 makes all equal."""
     return {k: float(n) ** temperature for k, n in counts.items()}
@@ -81,14 +117,9 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str =
     if strict and set(target) - set(counts):
         raise ValueError(f"no rows of {sorted(set(target) - set(counts))}")
     target = {k: w for k, w in target.items() if k in counts}
-    share = shares(target, max(resolution or max(1000, 50 * len(target)), len(target))) if target else {}
-    n = sum(share.values())
-    plan = period(share) if share else []
-    # the first slot for which a source has no full block, over all sources
-    offsets: dict[str, list[int]] = {}
-    for s, _, slot in plan:
-        offsets.setdefault(s, []).append(slot)
-    until = min(((b := ceil(counts[s] / block_rows)) // a * n + offsets[s][b % a] for s, a in share.items()), default=0)
+    plan = phases({k: ceil(v / block_rows) for k, v in counts.items()}, target, resolution)
+    # the first phase ends when the first source runs out
+    until = next((x[3] for x in plan if x[3] > 0), sum(x[2] - x[1] for x in plan))
     deals = max(1, ceil(max(counts.values(), default=1) / rows_per_deal))
     h = F.xxhash64(F.col(id_col).cast("string"), F.lit(23))
     d = docs.withColumns({"_s": name, "_h": h, "_deal": F.pmod(h, F.lit(deals)).cast("int")})
@@ -96,13 +127,13 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str =
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy("_s").orderBy("_deal").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     d = d.withColumn("_row", F.row_number().over(Window.partitionBy("_s", "_deal").orderBy("_h", F.col(id_col))) - 1)
     d = d.join(before, ["_s", "_deal"]).withColumn("block", F.floor((F.col("_before") + F.col("_row")) / block_rows).cast("long"))
-    rows = spark.createDataFrame([(s, a, offsets[s]) for s, a in share.items()], "_s string, _a long, _offsets array<int>")
-    d = d.join(F.broadcast(rows), "_s", "left")  # at most most_sources rows, resolution numbers in all
-    block, a = F.col("block"), F.col("_a")
-    turn: Column = F.floor(block / a)
+    rows = spark.createDataFrame(plan, "_source string, _first long, _end long, _base long, _period long, _a long, _offsets array<int>")
+    block = F.col("block")
+    own = (F.col("_s") == F.col("_source")) & (block >= F.col("_first")) & (block < F.col("_end"))
+    d = d.join(F.broadcast(rows), own, "left").withColumn("_b", block - F.col("_first"))  # rows: one a source and phase
     out = d.withColumns({
-        "slot": (turn * n + F.element_at("_offsets", (block % a + 1).cast("int"))).cast("long"),
-        "release": F.expr(f"block * {n} div _a").cast("long"),
-        "deadline": F.expr(f"((block + 1) * {n} + _a - 1) div _a").cast("long"),
+        "slot": F.expr("_base + _b div _a * _period + _offsets[cast(_b % _a as int)]").cast("long"),
+        "release": F.expr("_base + _b * _period div _a").cast("long"),
+        "deadline": F.expr("_base + ((_b + 1) * _period + _a - 1) div _a").cast("long"),
     })
     return out.withColumn("in_mix", F.coalesce(F.col("slot") < until, F.lit(False))).select(*docs.columns, *new)
