@@ -1,6 +1,7 @@
 """Licence scans in DataFrame functions only.
 
-Segments that speak of a licence (lines of a file that hold a cue word; all of a licence file) become sparse TF-IDF vectors
+Segments that speak of a licence (lines of a file that hold a cue word, blocks of adjacent lines around one, without comment markers, as
+notices are wrapped; all of a licence file) become sparse TF-IDF vectors
 and are compared by cosine with template notices. Weights use the templates' document frequencies:
 idf = ln((1 + n) / (1 + df)) + 1, and words in no template count with df = 0 in a segment's length. A file's own licence is that of
 its best segment, if the cosine reaches `threshold`. Any other file inherits from the nearest directory above it, its own
@@ -12,6 +13,8 @@ then the smallest licence name; ties between templates likewise; repeated rows a
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +38,10 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 #: Fixed cue pattern.
-CUE = r"(?i)licen[sc]e|copyright|permission is|redistribut|public domain"
+CUE = r"(?i)licen[sc]e|copyright|permission|redistribut|public domain|unencumbered"
+MARKER = r"^[\x20\x09]*(?:/\*+!?|\*+/?|//+!?|#+!?|--+|;+|%+|<!--)?[\x20\x09]*|[\x20\x09\x0D]*(?:\*+/|-->)?[\x20\x09\x0D]*$"
+#: A block has at most so many lines before and after its cue, and characters of the longest notice.
+AROUND, ROOM = 12, 1.5
 LICENSE_FILE = r"(?i)(^|/)(licen[sc]e|copying|unlicense)(\.(txt|md))?$"
 
 
@@ -43,6 +49,26 @@ def terms(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}.]+|\.+(?=\s|$)"), lambda w: w != "")
 
 
+def cues(notices=None) -> str:
+    """CUE, and the longest word of each notice in which it finds nothing."""
+    words = {max(re.findall(r"\w+", x), key=lambda w: (len(w), w)) for _, x in notices or TEMPLATES if not re.search(CUE, x)}
+    return "|".join([CUE, *sorted(map(re.escape, words))])
+
+
+def blocks(text: Column, cue: str, room: int) -> Column:
+    """array<string> of the blocks of two or more adjacent lines around each line with a cue, of at most room characters."""
+    plain = F.transform(F.split(text, "\n"), lambda x: F.regexp_replace(x, MARKER, ""))
+
+    def around(lines: Column, i: Column) -> Column:
+        join = lambda a, b: F.array_join(F.slice(lines, a, b - a + 1), " ")
+        starts = F.filter(F.sequence(F.greatest(i - AROUND, F.lit(1)), i), lambda a: F.length(join(a, i)) <= room)
+        ends = F.filter(F.sequence(i, F.least(i + AROUND, F.size(lines))), lambda b: F.length(join(i, b)) <= room)
+        return F.flatten(F.transform(starts, lambda a: F.transform(F.filter(ends, lambda b: (b > a) & (F.length(join(a, b)) <= room)), lambda b: F.trim(join(a, b)))))
+
+    # one array in one variable: the lines are split once
+    return F.flatten(F.flatten(F.transform(F.array(plain), lambda lines: F.transform(F.filter(F.sequence(F.lit(1), F.size(lines)), lambda i: F.get(lines, i - 1).rlike(cue)), lambda i: around(lines, i)))))
+
+
 def templates(spark, notices=None) -> DataFrame:
     """(license, template, term, weight, idf): unit vectors of the notices. Bounded by the notices' words."""
     t = spark.createDataFrame([(i, n, x) for i, (n, x) in enumerate(notices or TEMPLATES)], "template int, license string, text string")
@@ -63,7 +89,9 @@ def scan(files: DataFrame, id_col: str = "file_id", path_col: str = "path", text
     spark = files.sparkSession
     f = files.select(F.col(id_col).alias("_i"), F.col(path_col).alias("_p"), F.coalesce(text_col, F.lit("")).alias("_t"))
     whole = F.coalesce(F.col("_p").rlike(LICENSE_FILE), F.lit(False))
-    lines = F.filter(F.split("_t", "\n"), lambda x: x.rlike(CUE))
+    cue, room = cues(notices), int(ROOM * max(len(x) for _, x in notices or TEMPLATES))
+    lines = F.filter(F.split("_t", "\n"), lambda x: x.rlike(cue))
+    lines = F.when(F.col("_t").rlike(cue), F.concat(lines, blocks(F.col("_t"), cue, room))).otherwise(F.array().cast("array<string>"))
     segments = F.when(whole, F.concat(F.array("_t"), lines)).otherwise(lines)
     keyed = f.select("_i", "_p", F.explode(F.array_distinct(segments)).alias("_s")).withColumn("_x", F.sha2("_s", 256))
     # equal notices are compared once, however many files hold them; their digest stands for them in rows of terms
