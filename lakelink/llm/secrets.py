@@ -2,8 +2,8 @@
 
 Base spans come from three patterns (leftmost, non-overlapping, greedy): key assignments, access keys and long hex runs.
 Two character Markov models add spans of kind `random`: one of random strings, one of ordinary identifiers, both order 1
-over 64 symbols and trained on labelled samples. A run of 20 or more key characters whose log-likelihood ratio per
-transition is at least `threshold` is random, unless it lies in a base span.
+over 64 symbols and trained on labelled samples. Of a run of 20 or more key characters, each part outside the base spans is random if its
+log-likelihood ratio is at least `threshold` per transition, and in sum at least that of the shortest run at the threshold.
 
 Positions are code points, ends exclusive. They come from splitting a text at its matches and adding up lengths.
 Rows: a null text counts as empty and has no span; null ids and repeated rows are kept as they are.
@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"  # 16 characters in all
 HEX = r"[0-9a-f]{32,}"
-CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
+LEAST = 20
+CANDIDATE = rf"[A-Za-z0-9+/_-]{{{LEAST},}}"
 SYMBOLS = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+_"
 
 
@@ -34,7 +35,7 @@ def code(ch: str) -> int:
 def samples(n: int = 4000, seed: int = 5) -> list[tuple[str, bool]]:
     """Labelled strings (text, random): keys in several alphabets, and identifiers in several styles made of syllables."""
     r = random.Random(seed)
-    alphabets = ["0123456789abcdef", string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_uppercase + string.digits, string.ascii_lowercase + string.digits]
+    alphabets = ["0123456789abcdef", string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_uppercase + string.digits, string.ascii_lowercase + string.digits, string.ascii_letters]
     out = [("".join(r.choices(r.choice(alphabets), k=r.randint(20, 64))), True) for _ in range(n)]
     onset = ["", "b", "c", "d", "f", "g", "h", "j", "l", "m", "n", "p", "r", "s", "t", "v", "w", "st", "tr", "ch", "sh", "th", "pl", "gr", "pr", "qu"]
     nucleus = ["a", "e", "i", "o", "u", "ea", "ou", "io", "ie", "ai"]
@@ -71,10 +72,19 @@ def spans(text: Column, pattern: str, kind: str, order: int) -> Column:
 
 
 def likelihood_ratio(s: Column, table: Column, codes: Column) -> Column:
-    """Mean log-likelihood ratio of s's transitions."""
+    """Summed log-likelihood ratio of s's transitions."""
     ids = F.transform(F.split(s, ""), lambda c: F.element_at(codes, F.ascii(c) + 1))
     pairs = F.zip_with(F.slice(ids, F.lit(1), F.size(ids) - 1), F.slice(ids, F.lit(2), F.size(ids) - 1), lambda a, b: F.element_at(table, a * len(SYMBOLS) + b + 1))
-    return F.aggregate(pairs, F.lit(0.0), lambda acc, x: acc + x) / F.size(pairs)
+    return F.aggregate(pairs, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def outside(x: Column, base: Column) -> Column:
+    """The parts of span x, as spans, that no span of base (sorted by start) covers."""
+    part = lambda s, e: F.struct(s.alias("s"), e.alias("e"), x["o"].alias("o"), x["k"].alias("k"), F.substring(x["m"], s - x["s"] + 1, e - s).alias("m"))
+    none = F.array().cast("array<struct<s:int,e:int,o:int,k:string,m:string>>")
+    add = lambda acc, b: F.struct(F.greatest(acc["at"], b["e"]).alias("at"), F.concat(acc["out"], F.when(b["s"] > acc["at"], F.array(part(acc["at"], b["s"]))).otherwise(none)).alias("out"))
+    done = lambda acc: F.concat(acc["out"], F.when(acc["at"] < x["e"], F.array(part(acc["at"], x["e"]))).otherwise(none))
+    return F.aggregate(F.filter(base, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])), F.struct(x["s"].alias("at"), none.alias("out")), add, done)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = 0.5, labelled: list[tuple[str, bool]] | None = None) -> DataFrame:
@@ -84,7 +94,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, thr
     d = docs.select(F.col(id_col), F.coalesce(text_col, F.lit("")).alias("t"))
     d = d.withColumn("assign", F.filter(spans(F.col("t"), ASSIGN, "assign", 0), lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= 8))
     d = d.select(id_col, F.concat("assign", spans(F.col("t"), ACCESS, "access", 1), spans(F.col("t"), HEX, "hex", 2)).alias("base"), spans(F.col("t"), CANDIDATE, "random", 3).alias("more"))
-    free = F.filter("more", lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])) & x["m"].rlike("[0-9]") & (likelihood_ratio(x["m"], table, codes) >= threshold))
+    base = F.array_sort("base")
+    parts = F.flatten(F.transform("more", lambda x: outside(x, base)))
+    free = F.filter(parts, lambda x: likelihood_ratio(x["m"], table, codes) >= threshold * F.greatest(F.length(x["m"]) - 1, F.lit(LEAST - 1)))
     ranked = F.array_sort(F.concat("base", free))  # by start, end, order: two spans of one kind never share a start
     ranked = F.array_sort(F.transform(ranked, lambda x: F.struct(x["s"].alias("s"), x["o"].alias("o"), x["e"].alias("e"), x["k"].alias("k"), x["m"].alias("m"))))
     return d.select(id_col, F.transform(ranked, lambda x: F.struct(x["s"].alias("start"), x["e"].alias("end"), x["k"].alias("kind"), x["m"].alias("match"))).alias("spans"))
