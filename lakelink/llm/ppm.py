@@ -5,8 +5,9 @@ count / (total + distinct) and escapes with distinct / (total + distinct) to the
 already offered are excluded; below order 0 the unseen bytes are equally likely. Every node's distribution sums to 1,
 so minus its log2 is an exact code length. Statistics are frozen after training: scoring a text changes nothing.
 
-Training takes a bounded sample of labelled rows (`rows_per_lang`, `bytes_per_lang`, texts of at most `longest` characters,
-those with the smallest hash of their id); everything else covers all rows.
+Training takes a bounded sample of labelled rows (`rows_per_lang`, `bytes_per_lang`, the first `longest` characters of a text from its first letter,
+those with the smallest hash of their id) of every label; everything else covers all rows. If the trees of all labels would take more
+than `most_bytes` of memory, every label's bytes are halved until they fit; labels that do not fit at all are an error, none is left out.
 
 Rows: null or letterless text has language `und` and score 0; null ids are kept; repeated rows are scored alike; an
 empty training set makes every row `und`; extra columns pass through `identify` untouched. The posterior of the best
@@ -119,25 +120,53 @@ class Model:
         return gained[off[:-1]] - gained[off[1:]]
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, order: int = 4, rows_per_lang: int = 300, bytes_per_lang: int = 200_000, longest: int = 20_000, most_langs: int = 64) -> Model:
-    """Fit on a bounded sample of the labelled rows of docs, at most most_langs languages (the most frequent)."""
-    named = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) <= longest) & F.col(text_col).rlike(r"\p{L}"))
+def memory(samples: dict[str, bytes], order: int, min_count: int = 12) -> int:
+    """Bytes that building a Model takes at most: six tables of its largest order, and its own of all."""
+    per = [1]
+    for k in range(1, order + 1):
+        found = []
+        for text in samples.values():
+            t = np.frombuffer(text, np.uint8).astype(np.uint64)
+            context = np.zeros(max(0, len(t) - k), np.uint64)
+            for j in range(1, k + 1):
+                context |= t[k - j : len(t) - j] << np.uint64(8 * (k - j))
+            seen, n = np.unique(context, return_counts=True)
+            found.append(seen[n >= min_count])
+        per.append(len(np.unique(np.concatenate(found))) if found else 0)
+    return 256 * len(samples) * (48 * max(per) + 4 * sum(per))
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, order: int = 4, rows_per_lang: int = 300, bytes_per_lang: int = 200_000, longest: int = 20_000, most_bytes: int = 1 << 30) -> Model:
+    """Fit on a bounded sample of the labelled rows of docs, of every language."""
+    named = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+    cut = F.when(F.length(text_col) <= longest, F.col(text_col)).otherwise(F.substring(F.regexp_replace(text_col, r"^\P{L}+", ""), 1, longest))
     keyed = named.select(F.col(lang_col).alias("l"), F.col(id_col).alias("i"), F.xxhash64(F.col(id_col).cast("string"), F.lit(7)).alias("h"))
     # about twice the rows wanted of each language pass a cut of the hash, so that ranking them needs no language in one place
-    top = keyed.groupBy("l").agg(F.approx_count_distinct("h").alias("n")).orderBy(F.desc("n"), "l").limit(most_langs).collect()
-    cuts = docs.sparkSession.createDataFrame([(r.l, min(1.0, (2 * rows_per_lang + 50) / r.n)) for r in top], "l string, cut double")
+    every = keyed.groupBy("l").agg(F.approx_count_distinct("h").alias("n")).collect()
+    cuts = docs.sparkSession.createDataFrame([(r.l, min(1.0, (2 * rows_per_lang + 50) / r.n)) for r in every], "l string, cut double")
     passed = keyed.join(F.broadcast(cuts), "l").filter(F.shiftrightunsigned("h", 11) / float(1 << 53) < F.col("cut")).drop("cut")
     rank = Window.partitionBy("l").orderBy("h", "i")
     chosen = passed.withColumn("n", F.row_number().over(rank)).filter(F.col("n") <= rows_per_lang)
-    ids = chosen.select("l", "i", "h").orderBy("l", "h", "i").limit(rows_per_lang * most_langs).collect()
+    ids = chosen.select("l", "i", "h").distinct().orderBy("l", "h", "i").collect()
     order_of = {(r.l, r.i): k for k, r in enumerate(ids)}
-    got = named.filter(F.col(id_col).isin([r.i for r in ids if r.i is not None])).select(F.col(lang_col), F.col(id_col), F.lower(text_col)).limit(4 * rows_per_lang * most_langs).collect() if ids else []
+    wanted = F.broadcast(docs.sparkSession.createDataFrame([(r.l, r.i) for r in ids], keyed.select("l", "i").schema))
+    got = named.select(F.col(lang_col).alias("l"), F.col(id_col).alias("i"), F.lower(cut).alias("t")).join(wanted.select(F.col("l").alias("l2"), F.col("i").alias("i2")), (F.col("l") == F.col("l2")) & F.col("i").eqNullSafe(F.col("i2")))
+    # of rows that repeat an id, the first few texts are enough
+    got = got.withColumn("n", F.row_number().over(Window.partitionBy("l", "i").orderBy("t"))).filter("n <= 4").select("l", "i", "t").collect()
     parts: dict[str, bytearray] = {}
-    for lang, _, text in sorted((r for r in got if (r[0], r[1]) in order_of), key=lambda r: (order_of[r[0], r[1]], r[2])):
+    for lang, _, text in sorted(got, key=lambda r: (order_of[r[0], r[1]], r[2])):
         own = parts.setdefault(lang, bytearray())
         if len(own) < bytes_per_lang:
             own += text.encode() + b"\n"
-    return Model({k: bytes(v) for k, v in parts.items() if v}, order)
+    if lost := {r.l for r in every} - set(parts):
+        raise ValueError(f"no training text of the languages {sorted(lost)}")
+    samples, most = {k: bytes(v) for k, v in parts.items()}, max(map(len, parts.values()), default=0)
+    while memory(samples, order) > most_bytes:
+        most //= 2
+        if most < 256:
+            raise ValueError(f"the trees of {len(samples)} languages take more than {most_bytes} bytes")
+        samples = {k: v[:most] for k, v in samples.items()}
+    return Model(samples, order)
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", *, prefix: str = "") -> DataFrame:
