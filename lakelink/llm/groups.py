@@ -64,28 +64,33 @@ def promising(minor: DataFrame, marked: DataFrame, fits: Callable[[Column, Colum
     return minor.join(there, (F.col("key") == F.col("k2")) & other & fits(F.col("n"), F.col("most"), F.col("n2"), F.col("most2")), "left_semi")
 
 
-def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Column], Column], near: Callable[[Column, Column], Column], rounds: int = 3, fits: Callable[[Column, Column, Column, Column], Column] | None = None, sift: bool = False) -> DataFrame | None:
+def hub_pairs(buckets: DataFrame, near: Callable[[Column, Column], Column], sift: bool) -> DataFrame:
+    """First pairs (a, b): each item and the best-connected member that it meets, the centre of a group of copies if it is there."""
+    degree = buckets.join(buckets.groupBy("key").agg(F.count("*").alias("n")), "key").groupBy("id").agg(F.sum("n").alias("deg"))
+    hub = buckets.join(degree, "id").groupBy("key").agg(F.max(F.struct("deg", (-F.col("id")).alias("m"), *(["sig"] if sift else []))).alias("x"))
+    met = buckets.join(hub, "key").filter(F.col("id") != -F.col("x.m")).filter(near(F.col("sig"), F.col("x.sig")) if sift else F.lit(True)).groupBy("id").agg(F.max("x").alias("x"))
+    return met.select(F.least("id", -F.col("x.m")).alias("a"), F.greatest("id", -F.col("x.m")).alias("b")).distinct()
+
+
+def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Column], Column], near: Callable[[Column, Column], Column], rounds: int = 3, fits: Callable[[Column, Column, Column, Column], Column] | None = None, sift: bool = False, first: DataFrame | None = None, verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame | None:
     """(id, root) of all items in groups of at least two.
 
     buckets: (key, id, sig), keys shared by at least two items, written. payload: (id, x) of these items.
     linked: whether two payloads are linked, exactly. near: whether two sigs may belong to linked items; both tests stand inside the last step's join,
     which so makes a row for a link only. fits, for payloads that are sets: whether sets of sizes n and n2, of which most and most2 elements are
     shared with anyone, can be linked; it must allow more for larger most2. sift: drop pairs that are not near before their payloads are read.
+    first: pairs (a, b) to begin with, which may hold other ids too. verify: the links among pairs (a, b), where linked only tells pairs worth it.
     """
     spark = buckets.sparkSession
 
-    def verify(pairs: DataFrame) -> DataFrame:
+    def worth(pairs: DataFrame) -> DataFrame:
         a, b = (payload.select(F.col("id").alias(k), F.col("x").alias(f"x{k}")) for k in "ab")
         return pairs.join(a, "a").join(b, "b").filter(linked(F.col("xa"), F.col("xb"))).select("a", "b")
 
-    degree = buckets.join(buckets.groupBy("key").agg(F.count("*").alias("n")), "key").groupBy("id").agg(F.sum("n").alias("deg"))
-    # first pairs go to the best-connected member an item meets: the centre of a group of copies, if it is there
-    hub = buckets.join(degree, "id").groupBy("key").agg(F.max(F.struct("deg", (-F.col("id")).alias("m"), *(["sig"] if sift else []))).alias("x"))
-    met = buckets.join(hub, "key").filter(F.col("id") != -F.col("x.m")).filter(near(F.col("sig"), F.col("x.sig")) if sift else F.lit(True)).groupBy("id").agg(F.max("x").alias("x"))
-    pairs = save(met.select(F.least("id", -F.col("x.m")).alias("a"), F.greatest("id", -F.col("x.m")).alias("b")).distinct())
+    pairs = save(first) if first is not None else save(hub_pairs(buckets, near, sift))
     comp, tried, live, sized, bounded = None, None, buckets, None, None
     for r in range(1, rounds + 2):
-        links = save(verify(pairs))
+        links = save(worth(pairs) if verify is None else verify(pairs if r == 1 and first is not None else worth(pairs)))
         release(spark)
         if links.limit(1).count():
             old, comp = comp, relabel(comp, links)
@@ -125,7 +130,8 @@ def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Co
             i = minor.join(own, "id").select("key", F.col("id").alias("i"), F.col("root").alias("ri"), F.col("sig").alias("si"), F.col("x").alias("xi"), *(F.col(c).alias(c + "i") for c in extra))
             j = marked.join(own, "id").select("key", F.col("id").alias("j"), F.col("root").alias("rj"), F.col("sig").alias("sj"), F.col("x").alias("xj"), (F.col("root") == F.col("main")).alias("big"), *(F.col(c).alias(c + "j") for c in extra))
             both = i.join(j, (i["key"] == j["key"]) & (F.col("ri") != F.col("rj")) & (F.col("big") | (F.col("i") < F.col("j"))) & test)
-            links = save(both.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).distinct())
+            links = both.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).distinct()
+            links = save(links if verify is None else verify(links))
             if links.limit(1).count():
                 comp = relabel(comp, links)
             drop(links)
