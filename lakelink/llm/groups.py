@@ -79,7 +79,8 @@ def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Co
     linked: whether two payloads are linked, exactly. near: whether two sigs may belong to linked items; both tests stand inside the last step's join,
     which so makes a row for a link only. fits, for payloads that are sets: whether sets of sizes n and n2, of which most and most2 elements are
     shared with anyone, can be linked; it must allow more for larger most2. sift: drop pairs that are not near before their payloads are read.
-    first: pairs (a, b) to begin with, which may hold other ids too. verify: the links among pairs (a, b), where linked only tells pairs worth it.
+    first: pairs (a, b) to begin with, which may hold other ids too. verify: the links among pairs (a, b), where linked only tells pairs worth it; then
+    no last step follows, but rounds go on as long as at least 1 of 50 of a round's pairs is a link.
     """
     spark = buckets.sparkSession
 
@@ -92,10 +93,13 @@ def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Co
     for r in range(1, rounds + 2):
         links = save(worth(pairs) if verify is None else verify(pairs if r == 1 and first is not None else worth(pairs)))
         release(spark)
-        if links.limit(1).count():
+        n_links = links.count()
+        if n_links:
             old, comp = comp, relabel(comp, links)
             drop(old)
         drop(links)
+        if verify is not None and r > 1 and (r > rounds or 50 * n_links < pairs.count()):
+            break
         tried = pairs if tried is None else tried.unionByName(pairs)
         held = live.select("key", "id", "sig")
         held = held.join(comp, "id", "left").select("key", "id", "sig", F.coalesce("root", "id").alias("root")) if comp is not None else held.withColumn("root", F.col("id"))
@@ -120,8 +124,10 @@ def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Co
             # each item outside its bucket's largest group meets one member of that group and one of the others, both picked by a hash of round and bucket
             pick = F.min(F.struct(F.xxhash64("id", "key", F.lit(r)).alias("h"), F.col("id").alias("p"), F.col("root").alias("pr"), *(["sig"] if sift else [])))
             picked = marked.groupBy("key", (F.col("root") == F.col("main")).alias("big")).agg(pick.alias("x"))
-            two = minor.join(picked, "key").filter("root <> x.pr").filter(near(F.col("sig"), F.col("x.sig")) if sift else F.lit(True)).select(F.least("id", "x.p").alias("a"), F.greatest("id", "x.p").alias("b"))
-            pairs = two.distinct()
+            two = minor.join(picked, "key").filter("root <> x.pr").filter(near(F.col("sig"), F.col("x.sig")) if sift else F.lit(True))
+            if verify is not None:  # one of its picks for each item
+                two = two.groupBy("id").agg(F.min("x").alias("x"))
+            pairs = two.select(F.least("id", "x.p").alias("a"), F.greatest("id", "x.p").alias("b")).distinct()
         else:
             own, extra = payload.select("id", "x"), ["n", "most"] if fits is not None else []
             test = near(F.col("si"), F.col("sj")) & linked(F.col("xi"), F.col("xj"))
@@ -130,8 +136,7 @@ def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Co
             i = minor.join(own, "id").select("key", F.col("id").alias("i"), F.col("root").alias("ri"), F.col("sig").alias("si"), F.col("x").alias("xi"), *(F.col(c).alias(c + "i") for c in extra))
             j = marked.join(own, "id").select("key", F.col("id").alias("j"), F.col("root").alias("rj"), F.col("sig").alias("sj"), F.col("x").alias("xj"), (F.col("root") == F.col("main")).alias("big"), *(F.col(c).alias(c + "j") for c in extra))
             both = i.join(j, (i["key"] == j["key"]) & (F.col("ri") != F.col("rj")) & (F.col("big") | (F.col("i") < F.col("j"))) & test)
-            links = both.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).distinct()
-            links = save(links if verify is None else verify(links))
+            links = save(both.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).distinct())
             if links.limit(1).count():
                 comp = relabel(comp, links)
             drop(links)
