@@ -30,6 +30,20 @@ from .wordhash import slices
 UNKNOWN = "und"
 
 
+def pairs(t: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each context of k bytes with the byte after it in the lowest place, and its count; the context's nearest byte is its most significant one, so parents are prefixes."""
+    context = np.zeros(max(0, len(t) - k), np.uint64)
+    for j in range(1, k + 1):
+        context |= t[k - j : len(t) - j] << np.uint64(8 * (k - j))
+    return np.unique((context << np.uint64(8)) | t[k:], return_counts=True)
+
+
+def frequent(found: tuple[np.ndarray, np.ndarray], min_count: int) -> np.ndarray:
+    """Contexts seen at least min_count times."""
+    context, back = np.unique(found[0] >> np.uint64(8), return_inverse=True)
+    return context[np.bincount(back, weights=found[1], minlength=len(context)) >= min_count]
+
+
 class Model:
     """Context trees of several languages over one union of contexts.
 
@@ -40,67 +54,54 @@ class Model:
         self.langs, self.order = sorted(samples), order
         texts = [np.frombuffer(samples[k], np.uint8).astype(np.uint64) for k in self.langs]
         self.child = np.zeros((1, 256), np.int32)
-        below = {0: 0}  # context -> node, one order up
-        rows: list[np.ndarray] = []
-        before = escaped = counts = np.zeros((0, 256, len(texts)))  # of the next lower order, which is all that an order needs
-        for k in range(order + 1):
-            found = []
-            for t in texts:
-                context = np.zeros(max(0, len(t) - k), np.uint64)
-                for j in range(1, k + 1):  # the nearest byte is the most significant one: parents are prefixes
-                    context |= t[k - j : len(t) - j] << np.uint64(8 * (k - j))
-                pair, n = np.unique((context << np.uint64(8)) | t[k:], return_counts=True)
-                total = np.unique(pair >> np.uint64(8), return_inverse=True)
-                sums = np.bincount(total[1], weights=n, minlength=len(total[0]))
-                found.append((pair, n, total[0][sums >= min_count] if k else np.zeros(1, np.uint64)))
-            contexts = np.unique(np.concatenate([f[2] for f in found])) if found else np.zeros(0, np.uint64)
-            here = {int(c): len(self.child) * (k > 0) + i for i, c in enumerate(contexts)}
-            if k:
-                self.child = np.vstack([self.child, np.zeros((len(contexts), 256), np.int32)])
-            p = np.zeros((len(contexts), 256, len(texts)))
-            f_out, c_out = (np.zeros(p.shape if k < order else (0, 256, len(texts))) for _ in range(2))
-            parents = np.array([below[int(c) >> 8] for c in contexts], np.int64) if k else np.zeros(len(contexts), np.int64)
-            if k:
-                self.child[parents, (contexts & np.uint64(255)).astype(np.int64)] = list(here.values())
-            for li, (pair, n, kept) in enumerate(found):
-                place = np.searchsorted(contexts, pair >> np.uint64(8))
-                place[place == len(contexts)] = 0
-                fits = contexts[place] == pair >> np.uint64(8) if len(contexts) else np.zeros(len(pair), bool)
-                count = np.zeros((len(contexts), 256))
-                count[place[fits], (pair[fits] & np.uint64(255)).astype(np.int64)] = n[fits]
-                mine = np.isin(contexts, kept)
-                seen = count > 0
-                total, distinct = count.sum(1, keepdims=True), seen.sum(1, keepdims=True)
-                full = distinct == 256
-                whole = np.maximum(total + distinct * ~full, 1)
-                if k == 0:
-                    fallback = np.where(seen, 0, 1.0) / np.maximum(256 - distinct, 1)
-                    mine[:] = True
-                    total0 = np.where(total > 0, distinct * ~full / whole, 1.0)
-                else:
-                    at = parents - self.base
-                    up = counts[at, :, li] * ~seen
-                    up_seen = up > 0
-                    n_e, d_e = up.sum(1, keepdims=True), up_seen.sum(1, keepdims=True)
-                    offered = counts[at, :, li] > 0
-                    rest = escaped[at, :, li]
-                    left = (rest * ~offered).sum(1, keepdims=True) > 0
-                    d_esc = d_e * left
-                    fallback = np.where(up_seen, up / np.maximum(n_e + d_esc, 1), np.where(offered, 0, rest * np.where(d_e > 0, d_esc / np.maximum(n_e + d_esc, 1), 1.0)))
-                    total0 = distinct * ~full / whole
-                dist = np.where(seen, count / whole, fallback * total0)
-                if k:
-                    dist[~mine] = before[at[~mine], :, li]
-                    fallback[~mine] = escaped[at[~mine], :, li]
-                    count[~mine] = counts[at[~mine], :, li]
-                p[:, :, li] = dist
-                if k < order:
-                    f_out[:, :, li], c_out[:, :, li] = fallback, count
-            rows.append(np.log2(np.maximum(p, 1e-30)).astype(np.float32))
-            before, escaped, counts = p, f_out, c_out
-            self.base = len(self.child) - len(contexts)
-            below = here
-        self.logp = np.concatenate(rows) if texts else np.zeros((1, 256, 0), np.float32)
+        union, parents = [np.zeros(1, np.uint64)], [np.zeros(1, np.int64)]  # of each order: contexts, and their places one order down
+        first = 0
+        for k in range(1, order + 1):
+            kept = [frequent(pairs(t, k), min_count) for t in texts]
+            contexts = np.unique(np.concatenate(kept)) if kept else np.zeros(0, np.uint64)
+            up = np.searchsorted(union[-1], contexts >> np.uint64(8))
+            self.child[first + up, (contexts & np.uint64(255)).astype(np.int64)] = len(self.child) + np.arange(len(contexts))
+            first = len(self.child)
+            self.child = np.vstack([self.child, np.zeros((len(contexts), 256), np.int32)])
+            union.append(contexts)
+            parents.append(up)
+        self.logp = np.zeros((len(self.child), 256, len(texts)), np.float32)
+        for li, t in enumerate(texts):  # one language's tables at a time
+            self._learn(t, li, union, parents, min_count)
+
+    def _learn(self, t: np.ndarray, li: int, union: list[np.ndarray], parents: list[np.ndarray], min_count: int) -> None:
+        before = escaped = counts = np.zeros((0, 256))  # of the next lower order, which is all that an order needs
+        first = 0
+        for k, contexts in enumerate(union):
+            pair, n = found = pairs(t, k)
+            place = np.searchsorted(contexts, pair >> np.uint64(8))
+            place[place == len(contexts)] = 0
+            fits = contexts[place] == pair >> np.uint64(8) if len(contexts) else np.zeros(len(pair), bool)
+            count = np.zeros((len(contexts), 256))
+            count[place[fits], (pair[fits] & np.uint64(255)).astype(np.int64)] = n[fits]
+            seen = count > 0
+            total, distinct = count.sum(1, keepdims=True), seen.sum(1, keepdims=True)
+            full = distinct == 256
+            whole = np.maximum(total + distinct * ~full, 1)
+            if k == 0:
+                fallback = np.where(seen, 0, 1.0) / np.maximum(256 - distinct, 1)
+                dist = np.where(seen, count / whole, fallback * np.where(total > 0, distinct * ~full / whole, 1.0))
+            else:
+                at = parents[k]
+                offered = counts[at] > 0
+                rest = escaped[at]
+                up = counts[at] * ~seen
+                up_seen = up > 0
+                n_e, d_e = up.sum(1, keepdims=True), up_seen.sum(1, keepdims=True)
+                d_esc = d_e * ((rest * ~offered).sum(1, keepdims=True) > 0)
+                fallback = np.where(up_seen, up / np.maximum(n_e + d_esc, 1), np.where(offered, 0, rest * np.where(d_e > 0, d_esc / np.maximum(n_e + d_esc, 1), 1.0)))
+                dist = np.where(seen, count / whole, fallback * (distinct * ~full / whole))
+                # contexts that only other languages keep stand for the shorter one
+                other = ~np.isin(contexts, frequent(found, min_count))
+                dist[other], fallback[other], count[other] = before[at[other]], escaped[at[other]], counts[at[other]]
+            self.logp[first : first + len(contexts), :, li] = np.log2(np.maximum(dist, 1e-30))
+            before, escaped, counts = dist, fallback, count
+            first += len(contexts)
 
     def bits(self, off: np.ndarray, raw: np.ndarray) -> np.ndarray:
         """Code length in bits of each text under each language."""
@@ -121,22 +122,15 @@ class Model:
 
 
 def memory(samples: dict[str, bytes], order: int, min_count: int = 12) -> int:
-    """Bytes that building a Model takes at most: six tables of its largest order, and its own of all."""
+    """Bytes that building a Model takes at most: eight tables of one language's largest order, and the model."""
     per = [1]
     for k in range(1, order + 1):
-        found = []
-        for text in samples.values():
-            t = np.frombuffer(text, np.uint8).astype(np.uint64)
-            context = np.zeros(max(0, len(t) - k), np.uint64)
-            for j in range(1, k + 1):
-                context |= t[k - j : len(t) - j] << np.uint64(8 * (k - j))
-            seen, n = np.unique(context, return_counts=True)
-            found.append(seen[n >= min_count])
-        per.append(len(np.unique(np.concatenate(found))) if found else 0)
-    return 256 * len(samples) * (48 * max(per) + 4 * sum(per))
-
-
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, order: int = 4, rows_per_lang: int = 300, bytes_per_lang: int = 200_000, longest: int = 20_000, most_bytes: int = 1 << 30) -> Model:
+        kept = [frequent(pairs(np.frombuffer(text, np.uint8).astype(np.uint64), k), min_count) for text in samples.values()]
+        per.append(len(np.unique(np.concatenate(kept))) if kept else 0)
+    return 256 * (64 * max(per) + 4 * (1 + len(samples)) * sum(per))
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, order: int = 4, rows_per_lang: int = 300, bytes_per_lang: int = 200_000, longest: int = 20_000, most_bytes: int = 1 << 28) -> Model:
     """Fit on a bounded sample of the labelled rows of docs, of every language."""
     named = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     cut = F.when(F.length(text_col) <= longest, F.col(text_col)).otherwise(F.substring(F.regexp_replace(text_col, r"^\P{L}+", ""), 1, longest))
