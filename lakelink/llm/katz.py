@@ -83,7 +83,14 @@ def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.Ar
 
 
 def place(h: np.ndarray, n: int) -> np.ndarray:
-    return ((h >> _U64(40)) % _U64(n)).astype(np.int64)
+    return ((h >> _U64(16)) % _U64(n)).astype(np.int64)
+
+
+def pair_order(part: np.ndarray, cur: np.ndarray, prev: np.ndarray, parts: int) -> np.ndarray:
+    """Sort keys: all bits that a part's number needs, then as many of both words as fit."""
+    rest = 64 - parts.bit_length()
+    own = rest // 2
+    return (part.astype(_U64) << _U64(rest)) | (cur >> _U64(64 - (rest - own)) << _U64(own)) | (prev >> _U64(64 - own))
 
 
 def runs(sorted_keys: np.ndarray) -> np.ndarray:
@@ -169,7 +176,7 @@ def send_pairs(parts: int, most: int, uni):
             at[at == len(hot)] = 0
             is_hot = hot[at] == cur if len(hot) else np.zeros(len(cur), bool)
             part = place(np.where(is_hot, mix(prev * _U64(3) + cur), cur), parts)
-            order = np.argsort((part.astype(_U64) << _U64(44)) | (cur >> _U64(42) << _U64(22)) | (prev >> _U64(42)))
+            order = np.argsort(pair_order(part, cur, prev, parts))
             part, cur, prev, doc = part[order], cur[order], prev[order], doc[order]
             new = np.ones(len(cur), bool)
             new[1:] = (cur[1:] != cur[:-1]) | (prev[1:] != prev[:-1]) | (part[1:] != part[:-1])
@@ -349,11 +356,11 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     drop(stats)
     release(spark)
     found = save(deal(d.mapInArrow(send_pairs(parts, chunk_bytes, uni), _ROW), "part", parts).applyInArrow(score_pairs(parts, uni), _ROW), "kind")
-    release(spark)
     n2 = np.zeros(K + 2)
     for row in found.filter("kind = 'counts'").groupBy().agg(F.collect_list("data").alias("x")).collect():
         for x in row.x:
             n2 += unpack(x, np.int64)[0]
+    release(spark)  # after a further job: Spark holds on to the last one's shuffles
     d2 = discounts(n2)
     told = deal(found.filter("kind in ('context', 'ask')").select("part", "kind", "chunk", "data"), "part", parts).applyInArrow(answer(d2), _ROW)
     rest = found.filter("kind in ('sums', 'text')").select("part", "kind", "chunk", "data").unionByName(told)

@@ -80,6 +80,69 @@ def test_katz(spark, docs):
     assert katz.score_texts(docs.limit(0), F.lit(False)).count() == 0
 
 
+def plain_katz(rows, held):
+    """Scores of texts by a plain Katz bigram model."""
+    from collections import Counter
+    from math import log10
+
+    tokens = {i: [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")), None] for i, t in rows}
+    one, two = Counter(), Counter()
+    for i, _ in rows:
+        if i not in held:
+            one.update(tokens[i])
+            two.update(zip(["", *tokens[i]], tokens[i]))
+
+    def discounted(c):
+        n = [sum(v == r for v in c.values()) for r in range(katz.K + 2)]
+        return n, katz.discounts(np.array(n, float))
+
+    def left(n, d):
+        return sum(n[r] * r * (1 - d[r]) for r in range(1, katz.K + 1)) + katz.DELTA
+
+    n1, d1 = discounted(one)
+    _, d2 = discounted(two)
+    total = sum(one.values())
+    cut = lambda d, r: r * (d[r] if r <= katz.K else 1.0)
+    p1 = lambda w: cut(d1, one[w]) / (total + katz.DELTA) if one[w] else lost
+    after, known, lost = {}, {}, left(n1, d1) / (total + katz.DELTA)
+    for (v, w), r in two.items():
+        after.setdefault(v, {})[w] = r
+
+    def p2(v, w):
+        seen = after.get(v)
+        if not seen:
+            return p1(w)
+        if v not in known:
+            rest = sum(r - cut(d2, r) for r in seen.values()) + katz.DELTA
+            known[v] = sum(seen.values()) + katz.DELTA, rest / (1 - sum(map(p1, seen)))
+        c, share = known[v]
+        return (cut(d2, seen[w]) if w in seen else share * p1(w)) / c
+
+    unknown = object()
+    for v in list(after)[:50]:
+        assert abs(sum(p2(v, w) for w in [*one, unknown]) - 1) < 1e-9
+    return {i: sum(log10(p2(v, w)) for v, w in zip(["", *tokens[i]], tokens[i])) for i, _ in rows}
+
+
+def test_katz_whole(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in d.collect()]
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    ids = {r.doc_id for r in d.filter(held).collect()}
+    want = plain_katz(rows, ids)
+    got = katz.score_texts(d, held).collect()
+    assert len(got) == len(rows) and max(abs(r.score / want[r.doc_id] - 1) for r in got) < 1e-8
+
+
+def test_katz_order():
+    r = np.random.default_rng(0)
+    cur, prev = r.integers(0, 1 << 63, (2, 1000), dtype=np.uint64)
+    for parts in (1, 7, (1 << 22) + 5):
+        part = katz.place(cur, parts)
+        order = np.argsort(katz.pair_order(part, cur, prev, parts), kind="stable")
+        assert (np.diff(part[order]) >= 0).all() and part.max() < parts
+
+
 def test_spm(spark, docs):
     import sentencepiece
 
