@@ -74,12 +74,17 @@ def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.Ar
     """(ids, held out, text of each token, token) of runs of texts with about `most` bytes; an end after each text."""
     for batch in batches:
         held = np.array(batch.column(2).to_pylist(), bool)
-        for w in words(batch.column(1), most):
-            per = np.bincount(w.doc, minlength=w.docs)
-            last = np.cumsum(per)
-            token = np.insert(w.hash, last, END)
-            doc = np.insert(w.doc, last, np.arange(w.docs))
-            yield batch.column(0).slice(w.first, w.docs), held[w.first : w.first + w.docs], doc, token
+        parts, begin, size = [], 0, 0
+        # words are hashed in small slices: the steps by bytes take far more memory than the tokens they leave
+        for w in words(batch.column(1), min(most, 1 << 20)):
+            last = np.cumsum(np.bincount(w.doc, minlength=w.docs))
+            parts.append((np.insert(w.doc, last, np.arange(w.docs)) + (w.first - begin), np.insert(w.hash, last, END)))
+            size += len(w.units)
+            end = w.first + w.docs
+            if size >= most or end == batch.num_rows:
+                doc, token = (np.concatenate(x) for x in zip(*parts))
+                yield batch.column(0).slice(begin, end - begin), held[begin:end], doc, token
+                parts, begin, size = [], end, 0
 
 
 def place(h: np.ndarray, n: int) -> np.ndarray:
