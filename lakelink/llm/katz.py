@@ -172,7 +172,7 @@ def send_pairs(parts: int, most: int, uni):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = uni.value.hot
         task, number = TaskContext.get().partitionId(), 0
-        for ids, held, doc, cur in chunks(batches, min(most, 1 << 23)):
+        for ids, held, doc, cur in chunks(batches, most):
             chunk = (task << 24) | number
             number += 1
             first = np.concatenate([[True], doc[1:] != doc[:-1]])
@@ -220,21 +220,24 @@ def score_pairs(parts: int, uni):
         chunk_ids, blobs = table.column("chunk").to_pylist(), table.column("data").to_pylist()
         order = sorted(range(len(blobs)), key=lambda i: chunk_ids[i])
         got = [read_pairs(blobs[i]) for i in order]
+        del blobs
+        sizes = [(len(g[3]), len(g[4])) for g in got]
         cur = np.concatenate([np.repeat(g[0], g[1]) for g in got])
         prev = np.concatenate([g[2] for g in got])
-        count = np.concatenate([g[3] for g in got]).astype(np.int64)
+        count = np.concatenate([g[3] for g in got]).astype(np.int32)
         tags = np.concatenate([g[4].astype(np.uint32) for g in got])
-        edge = np.cumsum(count)
-        trained = np.add.reduceat((~tags & 1).astype(np.int64), edge - count)
+        del got
+        trained = np.add.reduceat((~tags & 1).astype(np.int32), np.cumsum(count) - count)
         # equal pairs of several chunks
-        sort = np.lexsort((prev, cur))
+        sort = np.lexsort((prev, cur)).astype(np.int32)
         cs, ps = cur[sort], prev[sort]
+        del cur, prev
         new = np.ones(len(cs), bool)
         new[1:] = (cs[1:] != cs[:-1]) | (ps[1:] != ps[:-1])
-        pair = np.empty(len(cs), np.int64)
-        pair[sort] = np.cumsum(new) - 1
+        pair = np.empty(len(cs), np.int32)
+        pair[sort] = np.cumsum(new, dtype=np.int32) - 1
         at = np.flatnonzero(new)
-        r_pair = np.add.reduceat(trained[sort], at)
+        r_pair = np.add.reduceat(trained[sort], at).astype(np.int64)
         pair_cur, pair_prev = cs[at], ps[at]
         b = runs(pair_cur)
         c_word = np.add.reduceat(r_pair, b)
@@ -244,7 +247,7 @@ def score_pairs(parts: int, uni):
             i[i == len(u.hot)] = 0
             c_word = np.where(u.hot[i] == word, u.hot_count[i], c_word)
         c_pair = np.repeat(c_word, np.diff(np.append(b, len(pair_cur))))
-        del cs, ps, sort, new
+        del cs, ps, sort, new, trained
         p1 = u.p1(c_pair)
         # of each pair: base, fixed part of the score
         base = u.base(c_pair)
@@ -252,8 +255,8 @@ def score_pairs(parts: int, uni):
         fixed -= np.where((c_pair > 0) & (pair_cur != END), np.log10(c_pair + DELTA), 0.0)
         out = []
         begin_e = begin_t = 0
-        for g, i in zip(got, order):
-            e, t = slice(begin_e, begin_e + len(g[3])), slice(begin_t, begin_t + len(g[4]))
+        for (n_e, n_t), i in zip(sizes, order):
+            e, t = slice(begin_e, begin_e + n_e), slice(begin_t, begin_t + n_t)
             begin_e, begin_t = e.stop, t.stop
             doc = (tags[t] >> 1).astype(np.int64)
             n = int(doc.max()) + 1
@@ -344,7 +347,7 @@ def finish(d: np.ndarray, trained: int, total: int):
     return run
 
 
-def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", *, bucket_bytes: int = 16 << 20, chunk_bytes: int = 8 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", *, bucket_bytes: int = 12 << 20, chunk_bytes: int = 6 << 20) -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score (add-0.1 unigrams) and score (log10 probability by the model)."""
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"), F.coalesce(held_out, F.lit(False)).alias("held"))
