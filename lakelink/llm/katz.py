@@ -254,6 +254,7 @@ def score_pairs(parts: int, uni):
         fixed = np.where(r_pair > K, np.log10(np.maximum(r_pair, 1)), 0.0) + np.where(r_pair == 0, np.log10(p1), 0.0)
         fixed -= np.where((c_pair > 0) & (pair_cur != END), np.log10(c_pair + DELTA), 0.0)
         out = []
+        asked = []
         begin_e = begin_t = 0
         for (n_e, n_t), i in zip(sizes, order):
             e, t = slice(begin_e, begin_e + n_e), slice(begin_t, begin_t + n_t)
@@ -269,11 +270,13 @@ def score_pairs(parts: int, uni):
             out.append((0, "sums", chunk_ids[i], pack(own.astype(np.uint32), *sums, known, *low)))
             ask = np.flatnonzero(r == 0)
             if len(ask):
-                v, d = pair_prev[of[ask]], doc[ask].astype(np.uint32)
-                q = place(v, parts)
-                s = np.argsort(q, kind="stable")
-                v, d, q = v[s], d[s], q[s]
-                out += [(k, "ask", chunk_ids[i], pack(v[x], d[x])) for k, x in _by_part(q, parts)]
+                asked.append((pair_prev[of[ask]], doc[ask].astype(np.uint32), np.full(len(ask), chunk_ids[i], _U64)))
+        if asked:  # of all chunks together: one row for each bucket asked
+            v, d, c = (np.concatenate(x) for x in zip(*asked))
+            q = place(v, parts)
+            s = np.argsort(q, kind="stable")
+            v, d, c, q = v[s], d[s], c[s], q[s]
+            out += [(k, "ask", 0, pack(v[x], d[x], c[x])) for k, x in _by_part(q, parts)]
         # followers seen in training, by context
         live = np.flatnonzero(r_pair)
         v = pair_prev[live]
@@ -300,7 +303,7 @@ def answer(d: np.ndarray):
     loss = np.arange(1, K + 1) * (1 - d[1:])
 
     def run(keys, table):
-        kinds, chunk, blobs = (table.column(c).to_pylist() for c in ("kind", "chunk", "data"))
+        kinds, blobs = (table.column(c).to_pylist() for c in ("kind", "data"))
         seen = [unpack(x, _U64, np.float64, *[np.uint32] * K) for k, x in zip(kinds, blobs) if k == "context"]
         if seen:
             word, back = np.unique(np.concatenate([s[0] for s in seen]), return_inverse=True)
@@ -309,16 +312,20 @@ def answer(d: np.ndarray):
             value = np.log10(left / np.maximum(1 - mass, 1e-300))
         else:
             word, value = np.zeros(0, _U64), np.zeros(0)
+        asked = [unpack(x, _U64, np.uint32, _U64) for k, x in zip(kinds, blobs) if k == "ask"]
+        if not asked:
+            return pa.Table.from_batches([_rows([])])
+        v, doc, chunk = (np.concatenate(x) for x in zip(*asked))
+        i = np.searchsorted(word, v)
+        i[i == len(word)] = 0
+        got = np.where(word[i] == v, value[i], 0.0) if len(word) else np.zeros(len(v))
+        order = np.lexsort((doc, chunk))
+        got, doc, chunk = got[order], doc[order], chunk[order]
+        begin = np.append(runs(chunk), len(chunk)).tolist()
         out = []
-        for k, ch, x in zip(kinds, chunk, blobs):
-            if k != "ask":
-                continue
-            v, doc = unpack(x, _U64, np.uint32)
-            i = np.searchsorted(word, v)
-            i[i == len(word)] = 0
-            got = np.where(word[i] == v, value[i], 0.0) if len(word) else np.zeros(len(v))
-            own, back = np.unique(doc, return_inverse=True)
-            out.append((0, "told", ch, pack(own, np.bincount(back, weights=got))))
+        for s, e in zip(begin, begin[1:]):
+            b = runs(doc[s:e])
+            out.append((0, "told", int(chunk[s]), pack(doc[s:e][b], np.add.reduceat(got[s:e], b))))
         return pa.Table.from_batches([_rows(out)])
 
     return run
