@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import drop, release, save
-from .wordhash import mix, words
+from .wordhash import mix, tidy, tidy_group, words
 
 K = 5
 DELTA = 0.1
@@ -362,7 +362,7 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     parts = max(spark.sparkContext.defaultParallelism, -(-(size.b or 0) // bucket_bytes))
     # groups by number: as many partitions as buckets, whatever the session's setting
     deal = lambda df, key, n: df.repartition(int(n), key).groupBy(key)
-    stats = save(deal(d.mapInArrow(count_words(parts, chunk_bytes), _ROW), "part", parts).applyInArrow(total_words, "total long, kinds long, n array<long>, hot array<struct<w:long,c:long>>"))
+    stats = save(deal(d.mapInArrow(tidy(count_words(parts, chunk_bytes)), _ROW), "part", parts).applyInArrow(tidy_group(total_words), "total long, kinds long, n array<long>, hot array<struct<w:long,c:long>>"))
     sums = stats.agg(F.sum("total").alias("total"), F.sum("kinds").alias("kinds"), *(F.sum(F.col("n")[r]).alias(f"n{r}") for r in range(K + 2))).first()
     total = sums.total or 0
     hot = stats.select(F.explode("hot").alias("h")).select("h.w", "h.c").filter(F.col("c") * HOT >= total).collect()
@@ -370,14 +370,14 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     uni = spark.sparkContext.broadcast(Unigrams(total, sums.kinds or 0, n1, {h.w & (1 << 64) - 1: h.c for h in hot}))
     drop(stats)
     release(spark)
-    found = save(deal(d.mapInArrow(send_pairs(parts, chunk_bytes, uni), _ROW), "part", parts).applyInArrow(score_pairs(parts, uni), _ROW), "kind")
+    found = save(deal(d.mapInArrow(tidy(send_pairs(parts, chunk_bytes, uni)), _ROW), "part", parts).applyInArrow(tidy_group(score_pairs(parts, uni)), _ROW), "kind")
     n2 = np.zeros(K + 2)
     for row in found.filter("kind = 'counts'").groupBy().agg(F.collect_list("data").alias("x")).collect():
         for x in row.x:
             n2 += unpack(x, np.int64)[0]
     release(spark)  # after a further job: Spark holds on to the last one's shuffles
     d2 = discounts(n2)
-    told = deal(found.filter("kind in ('context', 'ask')").select("part", "kind", "chunk", "data"), "part", parts).applyInArrow(answer(d2), _ROW)
+    told = deal(found.filter("kind in ('context', 'ask')").select("part", "kind", "chunk", "data"), "part", parts).applyInArrow(tidy_group(answer(d2)), _ROW)
     rest = found.filter("kind in ('sums', 'text')").select("part", "kind", "chunk", "data").unionByName(told)
-    out = deal(rest, "chunk", parts).applyInArrow(finish(d2, int(size.n or 0), int(total)), "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    out = deal(rest, "chunk", parts).applyInArrow(tidy_group(finish(d2, int(size.n or 0), int(total))), "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumnRenamed("id", id_col)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .wordhash import BASE, mix, span_hash
+from .wordhash import BASE, mix, span_hash, tidy
 
 WIDTH = 128
 _MULTIPLY = (mix(np.arange(1, WIDTH + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)[:, None] | np.uint32(1)
@@ -136,7 +136,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([Parsed(t or "").own.tobytes().hex() for t in b.column(1).to_pylist()])], [id_col, "fingerprint"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, T.StructType([field, T.StructField("fingerprint", T.StringType())]))
+    return docs.select(id_col, text_col).mapInArrow(tidy(run), T.StructType([field, T.StructField("fingerprint", T.StringType())]))
 
 
 def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, rows_per_range: int = 4000, most_ranges: int = 4096) -> DataFrame:
@@ -189,4 +189,4 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                 cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()])], names)
 
-    return neighbours(docs, id_col, text_col).mapInArrow(run, schema)
+    return neighbours(docs, id_col, text_col).mapInArrow(tidy(run), schema)

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from .groups import connect
 from .scratch import drop, release, save
-from .wordhash import mix, shingles, words
+from .wordhash import mix, shingles, tidy, words
 
 WIDTH = 128
 
@@ -75,7 +75,7 @@ def features(docs: DataFrame, id_col: str, text_col: str, size: int, rows: int,
                 lists = pa.ListArray.from_arrays(np.arange(w.docs + 1, dtype=np.int32) * count, key.view(np.int64).ravel())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(w.first, w.docs), pa.array(n.astype(np.int64)), pa.array(sums[:, 0].view(np.int64)), pa.array(sums[:, 1].view(np.int64)), lists, pa.ListArray.from_arrays(np.arange(w.docs + 1, dtype=np.int32) * sig.shape[1], np.ascontiguousarray(sig).view(np.int64).ravel())], ["id", "n", "s1", "s2", "keys", "sig"])
 
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "id long, n long, s1 long, s2 long, keys array<long>, sig array<long>")
+    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(tidy(run), "id long, n long, s1 long, s2 long, keys array<long>, sig array<long>")
 
 
 def sets(docs: DataFrame, size: int) -> DataFrame:
@@ -88,7 +88,7 @@ def sets(docs: DataFrame, size: int) -> DataFrame:
                 off = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=w.docs))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(w.first, w.docs), pa.ListArray.from_arrays(off, sh.view(np.int64))], ["id", "sh"])
 
-    return docs.mapInArrow(run, "id long, sh array<long>")
+    return docs.mapInArrow(tidy(run), "id long, sh array<long>")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, size: int = 5, percent: int = 80, miss: float = 1e-6) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .wordhash import slices
+from .wordhash import slices, tidy
 
 UNKNOWN = "und"
 
@@ -194,4 +194,4 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", *, prefix: s
             own = [batch.column(c) for c in batch.schema.names if c not in (flag, low)]
             yield pa.RecordBatch.from_arrays([*own, pa.array(langs[best], pa.string()), pa.array(post), pa.array(rate)], [*(c for c in batch.schema.names if c not in (flag, low)), *names])
 
-    return docs.withColumns({flag: F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)), low: F.lower(text_col)}).mapInArrow(score, schema)
+    return docs.withColumns({flag: F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)), low: F.lower(text_col)}).mapInArrow(tidy(score), schema)

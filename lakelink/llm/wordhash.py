@@ -6,6 +6,8 @@ taken from one running sum per slice and then mixed, so equal words have equal h
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -121,3 +123,32 @@ def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     new = np.ones(len(acc), bool)
     new[1:] = (acc[1:] != acc[:-1]) | (doc[1:] != doc[:-1])
     return doc[new], acc[new]
+
+
+def trim() -> None:
+    """Give memory that is free back to the system: a Python worker goes on to other stages, whose steps need it elsewhere."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def tidy(run):
+    """run, for mapInArrow, with trim() at the end."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        trim()
+
+    return tidied
+
+
+def tidy_group(run):
+    """run, for applyInArrow on groups, with trim() after each."""
+
+    def tidied(keys, table):
+        out = run(keys, table)
+        del table
+        trim()
+        return out
+
+    return tidied
