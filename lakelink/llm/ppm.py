@@ -183,7 +183,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", *, prefix: s
             n = batch.num_rows
             best, post, rate = np.full(n, len(m.langs)), np.zeros(n), np.zeros(n)
             has = np.array(batch.column(flag).to_pylist(), bool)
-            for first, off, raw in slices(batch.column(low), 1 << 20) if m.langs else ():
+            for first, off, raw in slices(batch.column(low), 1 << 18) if m.langs else ():
                 bits = m.bits(off, raw)
                 rows = slice(first, first + len(bits))
                 best[rows] = bits.argmin(1)
@@ -194,4 +194,4 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", *, prefix: s
             own = [batch.column(c) for c in batch.schema.names if c not in (flag, low)]
             yield pa.RecordBatch.from_arrays([*own, pa.array(langs[best], pa.string()), pa.array(post), pa.array(rate)], [*(c for c in batch.schema.names if c not in (flag, low)), *names])
 
-    return docs.withColumns({flag: F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)), low: F.lower(text_col)}).mapInArrow(tidy(score), schema)
+    return docs.withColumns({flag: F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)), low: F.lower(text_col)}).mapInArrow(tidy(score, shared), schema)

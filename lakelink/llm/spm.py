@@ -396,7 +396,7 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", *, out: str
                 same = e.restores(texts, ids)
                 yield pa.RecordBatch.from_arrays([*part.columns, ids, pa.compute.list_value_length(ids), pa.array(same, pa.bool_())], [*part.schema.names, *names])
 
-    return docs.mapInArrow(tidy(run), schema)
+    return docs.mapInArrow(tidy(run, shared), schema)
 
 
 def decode(rows: DataFrame, model_file: str, ids_col: str = "ids", *, out: str = "decoded") -> DataFrame:
@@ -409,4 +409,4 @@ def decode(rows: DataFrame, model_file: str, ids_col: str = "ids", *, out: str =
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([e.decode(x) for x in b.column(ids_col).to_pylist()], pa.string())], [*b.schema.names, out])
 
-    return rows.mapInArrow(tidy(run), schema)
+    return rows.mapInArrow(tidy(run, shared), schema)

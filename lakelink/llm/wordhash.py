@@ -132,11 +132,13 @@ def trim() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-def tidy(run):
-    """run, for mapInArrow, with trim() at the end."""
+def tidy(run, *shared):
+    """run, for mapInArrow, with trim() at the end; a worker keeps no copy of the broadcasts `shared`, but reads them again in its next task."""
 
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
+        for b in shared:
+            b.__dict__.pop("_value", None)
         trim()
 
     return tidied
