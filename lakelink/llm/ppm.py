@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -144,14 +145,14 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     ids = chosen.select("l", "i", "h").distinct().orderBy("l", "h", "i").collect()
     order_of = {(r.l, r.i): k for k, r in enumerate(ids)}
     wanted = F.broadcast(docs.sparkSession.createDataFrame([(r.l, r.i) for r in ids], keyed.select("l", "i").schema))
-    got = named.select(F.col(lang_col).alias("l"), F.col(id_col).alias("i"), F.lower(cut).alias("t")).join(wanted.select(F.col("l").alias("l2"), F.col("i").alias("i2")), (F.col("l") == F.col("l2")) & F.col("i").eqNullSafe(F.col("i2")))
+    got = named.select(F.col(lang_col).alias("l"), F.col(id_col).alias("i"), cut.alias("t")).join(wanted.select(F.col("l").alias("l2"), F.col("i").alias("i2")), (F.col("l") == F.col("l2")) & F.col("i").eqNullSafe(F.col("i2")))
     # of rows that repeat an id, the first few texts are enough
     got = got.withColumn("n", F.row_number().over(Window.partitionBy("l", "i").orderBy("t"))).filter("n <= 4").select("l", "i", "t").collect()
     parts: dict[str, bytearray] = {}
     for lang, _, text in sorted(got, key=lambda r: (order_of[r[0], r[1]], r[2])):
         own = parts.setdefault(lang, bytearray())
         if len(own) < bytes_per_lang:
-            own += text.encode() + b"\n"
+            own += pc.utf8_lower(pa.scalar(text)).as_py().encode() + b"\n"
     if lost := {r.l for r in every} - set(parts):
         raise ValueError(f"no training text of the languages {sorted(lost)}")
     samples, most = {k: bytes(v) for k, v in parts.items()}, max(map(len, parts.values()), default=0)
@@ -170,10 +171,10 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", *, prefix: s
     if clash:
         raise ValueError(f"docs has columns {sorted(clash)}; give another prefix")
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    text_at = docs.columns.index(text_col)
     flag = "_has_letter"
     while flag in docs.columns:
         flag += "_"
-    low = flag + "text"
     schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType()), T.StructField(names[2], T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,15 +184,19 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", *, prefix: s
             n = batch.num_rows
             best, post, rate = np.full(n, len(m.langs)), np.zeros(n), np.zeros(n)
             has = np.array(batch.column(flag).to_pylist(), bool)
-            for first, off, raw in slices(batch.column(low), 1 << 18) if m.langs else ():
+            texts = batch.column(text_at)
+            ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)) if m.langs else np.zeros(0)
+            cuts = np.unique(np.searchsorted(ends, np.arange(1 << 18, ends[-1] if len(ends) else 0, 1 << 18)) + 1).tolist()
+            for begin, end in zip([0, *cuts], [*cuts, n]) if m.langs else ():
+                _, off, raw = next(slices(pc.utf8_lower(texts.slice(begin, end - begin)), 1 << 62), (0, np.zeros(1, np.int64), np.zeros(0, np.uint8)))
                 bits = m.bits(off, raw)
-                rows = slice(first, first + len(bits))
+                rows = slice(begin, begin + len(bits))
                 best[rows] = bits.argmin(1)
                 gap = np.minimum((bits - bits.min(1, keepdims=True)) * np.log(2), 700)
                 post[rows] = 1 / np.exp(-gap).sum(1)
                 rate[rows] = bits.min(1) / np.maximum(np.diff(off), 1)
             best[~has], post[~has] = len(m.langs), 0.0
-            own = [batch.column(c) for c in batch.schema.names if c not in (flag, low)]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(langs[best], pa.string()), pa.array(post), pa.array(rate)], [*(c for c in batch.schema.names if c not in (flag, low)), *names])
+            own = [batch.column(c) for c in batch.schema.names if c != flag]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(langs[best], pa.string()), pa.array(post), pa.array(rate)], [*(c for c in batch.schema.names if c != flag), *names])
 
-    return docs.withColumns({flag: F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)), low: F.lower(text_col)}).mapInArrow(tidy(score, shared), schema)
+    return docs.withColumn(flag, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))).mapInArrow(tidy(score, shared), schema)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .wordhash import mix, powers, span_hash, tidy
+from .wordhash import held, mix, powers, span_hash, tidy
 
 SPACE = "▁"
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -363,15 +363,11 @@ class Encoder:
         return whole[1:] if whole[:1] == " " else whole
 
 
-_here: dict[int, Encoder] = {}
-
-
 def _encoder(shared) -> Encoder:
-    key = shared.id if hasattr(shared, "id") else id(shared)
-    if key not in _here:
-        _here.clear()
-        _here[key] = Encoder(shared.value)
-    return _here[key]
+    if id(shared) not in held:
+        held.clear()
+        held[id(shared)] = shared, Encoder(shared.value)
+    return held[id(shared)][1]
 
 
 def encode(docs: DataFrame, model_file: str, text_col: str = "text", *, out: str = "ids", rows_at_once: int = 1500) -> DataFrame:

@@ -132,10 +132,21 @@ def trim() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+#: What a worker keeps from task to task, by the number of the broadcast object it is made of (and holds), until a task without that broadcast comes.
+held: dict = {}
+
+
+def make_way(shared: tuple = ()) -> None:
+    if held and not any(id(b) in held for b in shared):
+        held.clear()
+        trim()
+
+
 def tidy(run, *shared):
     """run, for mapInArrow, with trim() at the end; a worker keeps no copy of the broadcasts `shared`, but reads them again in its next task."""
 
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_way(shared)
         yield from run(batches)
         for b in shared:
             b.__dict__.pop("_value", None)
@@ -148,6 +159,7 @@ def tidy_group(run):
     """run, for applyInArrow on groups, with trim() after each."""
 
     def tidied(keys, table):
+        make_way()
         out = run(keys, table)
         del table
         trim()
