@@ -47,12 +47,20 @@ def raw_records(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def records(spark: SparkSession, d: str) -> DataFrame:
-    """Prepared records, kept for the several channels that read them; a lost executor's part is made again from the scan."""
-    return prepare(raw_records(spark, d)).persist(StorageLevel.MEMORY_AND_DISK)
+def records(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Prepared records with these columns, or all; no other is worked out."""
+    made = prepare(raw_records(spark, d))
+    return made.select("source", "entity_id", "ordinal", "country", *columns) if columns else made
 
 
-def sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def sides(spark: SparkSession, d: str, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """Queries and targets, kept for the steps that read them; a lost executor's part is made again from the scan."""
+    r = records(spark, d, *dict.fromkeys([*B.HELD, "name_norm", *columns])).persist(StorageLevel.MEMORY_AND_DISK)
+    return r.filter("source = 'S1'"), r.filter("source <> 'S1'")
+
+
+def whole_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """With every column; what is not read is not worked out."""
     r = records(spark, d)
     return r.filter("source = 'S1'"), r.filter("source <> 'S1'")
 
@@ -120,17 +128,17 @@ def exact_name_block(spark, d):
 
 @query(f"WITH {ER} " + _ranked("SELECT q.entity_id AS q_id, t.entity_id AS t_id FROM q JOIN t ON q.country = t.country AND strip_accents(q.name_norm) = strip_accents(t.name_norm) AND q.name_norm <> ''"))
 def folded_name_block(spark, d):
-    return shown(B.equal(*sides(spark, d), "name_retrieval", K))
+    return shown(B.equal(*sides(spark, d, "name_retrieval"), "name_retrieval", K))
 
 
 @query()
 def core_name_block(spark, d):
-    return shown(B.equal(*sides(spark, d), "name_core", K))
+    return shown(B.equal(*sides(spark, d, "name_core"), "name_core", K))
 
 
 @query(_equal("addr_norm"))
 def exact_addr_block(spark, d):
-    return shown(B.equal(*sides(spark, d), "addr_norm", K))
+    return shown(B.equal(*sides(spark, d, "addr_norm"), "addr_norm", K))
 
 
 RARE = """
@@ -199,7 +207,7 @@ def char_ngrams(spark, d):
 
 def candidate_rows(spark: SparkSession, d: str) -> DataFrame:
     """Candidates by the equality, rare-token, anchor and compound channels; the similarity channel has a query of its own."""
-    q, t = sides(spark, d)
+    q, t = sides(spark, d, "name_retrieval", "name_core", "addr_norm", "addr_folded", "addr_empty")
     found = {"exact_name": B.exact_name(q, t, K), "folded_name": B.equal(q, t, "name_retrieval", K), "core_name": B.equal(q, t, "name_core", K), "exact_addr": B.equal(q, t, "addr_norm", K),
              "rare_token": B.rare_token(q, t, K, 0.05), "address_anchor": B.address_anchor(q, t, K), "compound": B.compound(q, t, K)}
     return B.top_k(B.enrich(B.merge(found), q, t), K)
@@ -292,7 +300,7 @@ def threshold_sweep(spark, d):
 
 @query(f"WITH {ER}, rk AS ({_ranked('SELECT q.entity_id AS q_id, t.entity_id AS t_id FROM q JOIN t ON q.country = t.country AND q.addr_norm = t.addr_norm AND q.addr_norm <> {e}'.format(e=chr(39) * 2))}), l AS (SELECT q_id AS s1_id, t_id AS target_id, rank, CAST(tp.s1_id IS NOT NULL AS INTEGER) AS label FROM rk LEFT JOIN tp ON tp.s1_id = q_id AND tp.target_id = t_id) SELECT s1_id, target_id, rank, label FROM (SELECT *, row_number() OVER (PARTITION BY s1_id, label ORDER BY rank, target_id) AS n FROM l) WHERE label = 1 OR n <= 2")
 def hard_negatives(spark, d):
-    c = B.equal(*sides(spark, d), "addr_norm", K).select(F.col("q_id").alias("s1_id"), F.col("t_id").alias("target_id"), "rank")
+    c = B.equal(*sides(spark, d, "addr_norm"), "addr_norm", K).select(F.col("q_id").alias("s1_id"), F.col("t_id").alias("target_id"), "rank")
     return training.training_pairs(c, truth_pairs(spark, d), 2)
 
 
@@ -358,7 +366,7 @@ def dictionary_coverage(spark, d):
 
 @query(f"WITH {ER}, x AS (SELECT DISTINCT q.entity_id FROM q JOIN t ON q.country = t.country AND q.addr_norm = t.addr_norm AND q.addr_norm <> '') SELECT entity_id FROM q WHERE entity_id NOT IN (SELECT entity_id FROM x)")
 def coverage_antijoin(spark, d):
-    q, t = sides(spark, d)
+    q, t = sides(spark, d, "addr_norm")
     return q.join(B.equal(q, t, "addr_norm", K).select(F.col("q_id").alias("entity_id")), "entity_id", "left_anti").select("entity_id")
 
 
@@ -433,7 +441,7 @@ def fuzzy_ratio_family(spark, d):
 
 @query()
 def pair_features_boolean(spark, d):
-    q, t = sides(spark, d)
+    q, t = whole_sides(spark, d)
     return features.pair_features(candidate_rows(spark, d), q, t, strings=False)
 
 
@@ -447,7 +455,7 @@ def pair_features_full(spark, d):
 
 @query()
 def gbt_match(spark, d):
-    q, t = sides(spark, d)
+    q, t = whole_sides(spark, d)
     c = candidate_rows(spark, d)
     table_ = features.pair_features(c, q, t, strings=False)
     used = [f for f in features.FEATURES if f in table_.columns]

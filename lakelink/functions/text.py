@@ -44,13 +44,19 @@ def retrieval_fold(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else x.casefold() if x.isascii() else "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)).casefold())
 
 
+def by_script(x: Column, other, ascii=F.lower) -> Column:
+    """ascii of texts in ASCII, which no Python worker sees; other, an Arrow UDF, of the rest."""
+    plain = ~x.rlike(r"[^\x00-\x7f]")
+    return F.when(plain, ascii(x)).otherwise(other(F.when(~plain, x)))
+
+
 def is_missing(x: Column) -> Column:
     return x.isNull() | F.lower(F.trim(x)).isin(MISSING)
 
 
 def normalized(x: Column) -> Column:
     """Case-folded NFKC: separators become single spaces, letters, digits and marks stay, all else is deleted."""
-    y = F.regexp_replace(nfkc_casefold(x), r"[\p{Z}\t\n,\-/.&]", " ")
+    y = F.regexp_replace(by_script(x, nfkc_casefold), r"[\p{Z}\t\n,\-/.&]", " ")
     y = F.trim(F.regexp_replace(F.regexp_replace(y, r"[^\p{L}\p{N}\p{Mn}\p{Mc} ]", ""), " +", " "))
     return F.when(is_missing(x), "").otherwise(y)
 
@@ -61,12 +67,17 @@ def tokens(x: Column) -> Column:
 
 def numbers(x: Column) -> Column:
     """Sorted distinct runs of digits that stand as words."""
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(x, F.lit(r"(?<![\p{L}\p{N}_])\p{Nd}+(?![\p{L}\p{N}_])"), F.lit(0))))
+    return F.array_sort(F.array_distinct(digit_words(x)))
+
+
+def digit_words(x: Column) -> Column:
+    """Runs of digits that stand as words, in order."""
+    return F.filter(F.split(x, r"[^\p{L}\p{N}_]+"), lambda w: w.rlike(r"^\p{Nd}+$"))
 
 
 def postal(x: Column) -> Column:
-    y = F.regexp_extract(x, r"(?<![\p{L}\p{N}_])(\p{Nd}{5,6})(?![\p{L}\p{N}_])", 1)
-    return F.when(y != "", y)
+    """The first of five or six digits."""
+    return F.get(F.filter(digit_words(x), lambda w: F.length(w).between(5, 6)), 0)
 
 
 def views(x: Column) -> Column:
@@ -141,16 +152,20 @@ def combined_view(core: Column, name: Column, translit: Column, addr_tokens: Col
     return F.concat_ws(" ", main, F.when(name != main, name), F.when((translit != main) & (translit != ""), translit), F.slice(addr_tokens, 1, 4), tail)
 
 
-def record(name: Column, address: Column, dictionary: Column | None = None) -> dict[str, Column]:
-    """Columns of a preprocessed record."""
-    n, a = normalized(name), normalized(address)
+def record(name: Column, address: Column, dictionary: Column | None = None) -> list[dict[str, Column]]:
+    """Columns of a preprocessed record, in steps: the columns of a step read those of the one before, so each is worked out once."""
+    n, a, words = F.col("name_norm"), F.col("addr_norm"), F.col("addr_digit_words")
     cs = core_and_suffix(n)
-    t = tokens(n)
-    return {
-        "name_raw": name, "name_norm": n, "name_folded": fold_accents(n), "name_retrieval": retrieval_fold(n), "name_compact": F.replace(n, F.lit(" "), F.lit("")), "name_core": cs["core"], "name_suffix": cs["suffix"], "name_tokens": t,
-        "name_numeric_tokens": F.array_sort(F.array_distinct(F.regexp_extract_all(n, F.lit(r"\p{Nd}+"), F.lit(0)))),
-        "name_translit": F.when(has_indic(name), F.array_join(transliterated(t, dictionary), " ") if dictionary is not None else n).otherwise(""),
-        "addr_raw": address, "addr_norm": a, "addr_folded": fold_accents(a), "addr_compact": F.replace(a, F.lit(" "), F.lit("")), "addr_tokens": tokens(a), "addr_empty": a == "", "addr_numbers": numbers(a),
-        "addr_numeric_tokens": F.array_sort(F.array_distinct(F.regexp_extract_all(a, F.lit(r"\p{Nd}+"), F.lit(0)))),
-        "addr_postal": postal(a), "script": script(name), "is_indic": has_indic(name),
-    }
+    same = lambda x: x
+    return [
+        {"name_raw": name, "addr_raw": address, "name_norm": normalized(name), "addr_norm": normalized(address)},
+        {"name_tokens": tokens(n), "addr_tokens": tokens(a), "addr_digit_words": digit_words(a)},
+        {
+            "name_folded": by_script(n, fold_accents, same), "name_retrieval": by_script(n, retrieval_fold), "name_compact": F.replace(n, F.lit(" "), F.lit("")), "name_core": cs["core"], "name_suffix": cs["suffix"],
+            "name_numeric_tokens": F.array_sort(F.array_distinct(F.regexp_extract_all(n, F.lit(r"\p{Nd}+"), F.lit(0)))),
+            "name_translit": F.when(has_indic(name), F.array_join(transliterated(F.col("name_tokens"), dictionary), " ") if dictionary is not None else n).otherwise(""),
+            "addr_folded": by_script(a, fold_accents, same), "addr_compact": F.replace(a, F.lit(" "), F.lit("")), "addr_empty": a == "", "addr_numbers": F.array_sort(F.array_distinct(words)),
+            "addr_numeric_tokens": F.array_sort(F.array_distinct(F.regexp_extract_all(a, F.lit(r"\p{Nd}+"), F.lit(0)))),
+            "addr_postal": F.get(F.filter(words, lambda w: F.length(w).between(5, 6)), 0), "script": script(name), "is_indic": has_indic(name),
+        },
+    ]

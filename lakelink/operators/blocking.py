@@ -21,7 +21,9 @@ def keyed(df: DataFrame, key: Column, prefix: str, explode: bool = False) -> Dat
     """Rows (country, key, prefix_id, ...) with non-empty keys."""
     k = F.explode(key) if explode else key
     more = [F.col("source")] if prefix == "t" else []
-    d = df.select("country", k.alias("key"), F.col("entity_id").alias(f"{prefix}_id"), *more, *(F.col(c).alias(f"{prefix}_{c}") for c in HELD))
+    # sets of tokens travel as 64-bit hashes: agreement needs their sizes and intersections only
+    held = [(F.col(c) if c == "addr_postal" else F.array_distinct(F.transform(c, lambda x: F.xxhash64(x)))).alias(f"{prefix}_{c}") for c in HELD]
+    d = df.select("country", k.alias("key"), F.col("entity_id").alias(f"{prefix}_id"), *more, *held)
     return d.filter("key is not null and key <> ''")
 
 

@@ -13,8 +13,10 @@ from ..operators import blocking, decode, features, training
 
 def prepare(raw: DataFrame) -> DataFrame:
     """raw: entity_id, source, country, business_name, business_address, and more columns that stay."""
-    made = X.record(F.col("business_name"), F.col("business_address"))
-    return raw.withColumn("country", F.upper(F.trim("country"))).select("*", *(c.alias(k) for k, c in made.items()))
+    out = raw.withColumn("country", F.upper(F.trim("country")))
+    for step in X.record(F.col("business_name"), F.col("business_address")):
+        out = out.withColumns(step)
+    return out.drop("addr_digit_words")
 
 
 @dataclass
