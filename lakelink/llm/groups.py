@@ -124,6 +124,10 @@ def connect(buckets: DataFrame, payload: DataFrame, linked: Callable[[Column, Co
             # each item outside its bucket's largest group meets one member of that group and one of the others, both picked by a hash of round and bucket
             pick = F.min(F.struct(F.xxhash64("id", "key", F.lit(r)).alias("h"), F.col("id").alias("p"), F.col("root").alias("pr"), *(["sig"] if sift else [])))
             picked = marked.groupBy("key", (F.col("root") == F.col("main")).alias("big")).agg(pick.alias("x"))
+            if verify is not None:  # three buckets of an item, by a hash of the round: one pair of an item is tested
+                lots = [F.min(F.struct(F.xxhash64("key", F.lit(r), F.lit(k)).alias("h"), "key", "sig", "root")).alias(f"l{k}") for k in range(3)]
+                minor = minor.groupBy("id").agg(*lots).select("id", F.explode(F.array_distinct(F.array("l0.key", "l1.key", "l2.key"))).alias("key"), F.array("l0", "l1", "l2").alias("l"))
+                minor = minor.withColumn("l", F.get(F.filter("l", lambda x: x["key"] == F.col("key")), 0)).select("id", "key", "l.sig", "l.root")
             two = minor.join(picked, "key").filter("root <> x.pr").filter(near(F.col("sig"), F.col("x.sig")) if sift else F.lit(True))
             if verify is not None:  # one of its picks for each item
                 two = two.groupBy("id").agg(F.min("x").alias("x"))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .wordhash import slices, tidy
+from .wordhash import slices, tidy, trim
 
 UNKNOWN = "und"
 
@@ -161,7 +161,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         if most < 256:
             raise ValueError(f"the trees of {len(samples)} languages take more than {most_bytes} bytes")
         samples = {k: v[:most] for k, v in samples.items()}
-    return Model(samples, order)
+    model = Model(samples, order)
+    trim()
+    return model
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", *, prefix: str = "") -> DataFrame:

@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .wordhash import trim
+
 _made: list[str] = []
 
 
@@ -63,4 +65,5 @@ def drop_all() -> None:
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of plans that are no longer referenced."""
     gc.collect()
+    trim()
     spark.sparkContext._jvm.System.gc()
