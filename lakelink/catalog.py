@@ -86,14 +86,15 @@ def _norm(x: str) -> str:
     return f"CASE WHEN lower(trim({x})) IN ('', 'null', '<null>', 'none', 'nan') THEN '' ELSE {n} END"
 
 
+VIEWS = f"""er AS (SELECT *, addr_norm = '' AS addr_empty, list_filter(string_split(name_norm, ' '), lambda x: x <> '') AS name_tokens, list_filter(string_split(addr_norm, ' '), lambda x: x <> '') AS addr_tokens,
+              list_sort(list_distinct(list_filter(string_split(regexp_replace(addr_norm, '[^\\p{{L}}\\p{{N}}_]', ' ', 'g'), ' '), lambda x: regexp_full_match(x, '[0-9]+')))) AS addr_numbers,
+              list_filter(string_split(regexp_replace(addr_norm, '[^\\p{{L}}\\p{{N}}_]', ' ', 'g'), ' '), lambda x: regexp_full_match(x, '[0-9]{{5,6}}'))[1] AS addr_postal FROM er1),
+q AS (SELECT * FROM er WHERE source = 'S1'), t AS (SELECT * FROM er WHERE source <> 'S1')"""
 ER = f"""
 er0 AS (SELECT 'S' || (doc_id % 3 + 1) AS source, doc_id AS ordinal, upper(trim(lang)) AS country, split_part(text, chr(10), 1) AS business_name,
                substr(text, length(split_part(text, chr(10), 1)) + 2) AS business_address, text FROM documents),
 er1 AS (SELECT *, source || '-' || ordinal AS entity_id, {_norm('business_name')} AS name_norm, {_norm('business_address')} AS addr_norm FROM er0),
-er AS (SELECT *, addr_norm = '' AS addr_empty, list_filter(string_split(name_norm, ' '), lambda x: x <> '') AS name_tokens, list_filter(string_split(addr_norm, ' '), lambda x: x <> '') AS addr_tokens,
-              list_sort(list_distinct(list_filter(string_split(regexp_replace(addr_norm, '[^\\p{{L}}\\p{{N}}_]', ' ', 'g'), ' '), lambda x: regexp_full_match(x, '[0-9]+')))) AS addr_numbers,
-              list_filter(string_split(regexp_replace(addr_norm, '[^\\p{{L}}\\p{{N}}_]', ' ', 'g'), ' '), lambda x: regexp_full_match(x, '[0-9]{{5,6}}'))[1] AS addr_postal FROM er1),
-q AS (SELECT * FROM er WHERE source = 'S1'), t AS (SELECT * FROM er WHERE source <> 'S1'),
+{VIEWS},
 tp AS (SELECT DISTINCT q.entity_id AS s1_id, t.entity_id AS target_id FROM q JOIN t ON md5(q.text) = md5(t.text)),
 truth AS (SELECT q.entity_id AS s1_id, coalesce(list_sort(list(tp.target_id) FILTER (tp.target_id IS NOT NULL)), []) AS target_ids FROM q LEFT JOIN tp ON tp.s1_id = q.entity_id GROUP BY 1)
 """
@@ -131,7 +132,14 @@ def folded_name_block(spark, d):
     return shown(B.equal(*sides(spark, d, "name_retrieval"), "name_retrieval", K))
 
 
-@query()
+_SUFFIX = "coalesce(list_contains([" + ", ".join(f"'{k}'" for k in X.SUFFIXES) + "], name_tokens[-{k}]), false)"
+_ENDS = f"(CASE WHEN NOT {_SUFFIX.format(k=1)} THEN 0 WHEN NOT {_SUFFIX.format(k=2)} THEN 1 WHEN NOT {_SUFFIX.format(k=3)} THEN 2 ELSE 3 END)"
+CORE = f"array_to_string(CASE WHEN {_ENDS} >= len(name_tokens) THEN name_tokens ELSE name_tokens[1:len(name_tokens) - {_ENDS}] END, ' ')"
+CORES = f"qk AS (SELECT country, entity_id, {CORE} AS core FROM q), tk AS (SELECT country, entity_id, {CORE} AS core FROM t)"
+CORE_PAIRS = "SELECT qk.entity_id AS q_id, tk.entity_id AS t_id FROM qk JOIN tk ON qk.country = tk.country AND qk.core = tk.core AND qk.core <> ''"
+
+
+@query(f"WITH {ER}, {CORES} " + _ranked(CORE_PAIRS))
 def core_name_block(spark, d):
     return shown(B.equal(*sides(spark, d, "name_core"), "name_core", K))
 
@@ -184,13 +192,33 @@ def parts(spark: SparkSession, d: str) -> DataFrame:
                             F.col("p_name").alias("business_name"), F.concat_ws(" ", "p_brand", "p_type", F.col("p_size").cast("string")).alias("business_address")))
 
 
-@query()
+def _exact(limit: int, most: int) -> str:
+    """Pairs of equal names under the policy for overfull buckets."""
+    return f"""SELECT q_id, t_id FROM (SELECT *, bool_or(n > {limit} AND fine) OVER (PARTITION BY q_id, source) AS done FROM (
+      SELECT q.entity_id AS q_id, t.entity_id AS t_id, t.source, t.n, len(list_intersect(q.addr_numbers, t.addr_numbers)) > 0 OR coalesce(q.addr_postal = t.addr_postal, false) AS fine
+      FROM q JOIN (SELECT *, count(*) OVER (PARTITION BY country, source, name_norm) AS n FROM t) t ON q.country = t.country AND q.name_norm = t.name_norm AND q.name_norm <> ''))
+      WHERE n <= {limit} OR fine OR (n <= {most} AND NOT done)"""
+
+
+PARTS = f"""er1 AS (SELECT 'P-' || p_partkey AS entity_id, CASE WHEN p_partkey % 2 = 1 THEN 'S1' ELSE 'S2' END AS source, 'ALL' AS country, {_norm('p_name')} AS name_norm,
+  {_norm("p_brand || ' ' || p_type || ' ' || p_size")} AS addr_norm FROM part), {VIEWS}"""
+
+
+@query(f"WITH {PARTS} " + _ranked(_exact(15, 15), 15))
 def bucket_overflow_policy(spark, d):
     p = parts(spark, d)
     return shown(B.exact_name(p.filter("source = 'S1'"), p.filter("source = 'S2'"), K, 15))
 
 
-@query()
+GRAMS = """list_concat(list_transform(range(1, length(w) + 1), lambda i: substr(' ' || w || ' ', i, 3)), CASE WHEN length(w) > 1 THEN list_transform(range(1, length(w)), lambda i: substr(' ' || w || ' ', i, 4)) ELSE [] END)"""
+
+
+@query(f"""WITH {PARTS}, tx AS (SELECT DISTINCT source, name_norm AS id FROM er1), wd AS (SELECT source, id, unnest(list_filter(string_split(id, ' '), lambda x: x <> '')) AS w FROM tx),
+   tf AS (SELECT source, id, g, 1 + ln(count(*)) AS tf FROM (SELECT source, id, unnest({GRAMS}) AS g FROM wd) GROUP BY ALL), df AS (SELECT g, count(*) AS df FROM tf WHERE source = 'S2' GROUP BY 1),
+   wt AS (SELECT source, id, g, tf * (ln((1 + (SELECT count(*) FROM tx WHERE source = 'S2'))::DOUBLE / (1 + coalesce(df, 0))) + 1) AS w FROM tf LEFT JOIN df USING (g)),
+   un AS (SELECT source, id, g, w / sqrt(sum(w * w) OVER (PARTITION BY source, id)) AS w FROM wt),
+   sc AS (SELECT a.id AS q_id, b.source, b.id AS t_id, sum(a.w * b.w) AS score FROM un a JOIN un b ON a.g = b.g AND a.source = 'S1' AND b.source = 'S2' GROUP BY ALL HAVING sum(a.w * b.w) > 0.12),
+   rk AS (SELECT q_id, source, t_id, round(score, 9) AS score, CAST(row_number() OVER (PARTITION BY q_id ORDER BY round(score, 9) DESC, t_id) AS INTEGER) AS rank FROM sc) SELECT * FROM rk WHERE rank <= 15""")
 def tfidf_topn_join(spark, d):
     p = parts(spark, d).select("source", "country", F.col("name_norm").alias("id"), F.col("name_norm").alias("text")).distinct()
     return B.similar(p.filter("source = 'S1'").drop("source"), p.filter("source = 'S2'"), 15).withColumn("score", F.round("score", 9))
@@ -213,13 +241,37 @@ def candidate_rows(spark: SparkSession, d: str) -> DataFrame:
     return B.top_k(B.enrich(B.merge(found), q, t), K)
 
 
-@query()
+_CHANNELS = {
+    "exact_name": _exact(20, 100), "folded_name": "SELECT q.entity_id AS q_id, t.entity_id AS t_id FROM q JOIN t ON q.country = t.country AND strip_accents(q.name_norm) = strip_accents(t.name_norm) AND q.name_norm <> ''",
+    "core_name": CORE_PAIRS, "exact_addr": "SELECT q.entity_id AS q_id, t.entity_id AS t_id FROM q JOIN t ON q.country = t.country AND q.addr_norm = t.addr_norm AND q.addr_norm <> ''",
+    "rare_token": """SELECT DISTINCT a.id AS q_id, b.id AS t_id FROM (SELECT country, entity_id AS id, unnest(list_distinct(name_tokens)) AS key FROM q) a
+      JOIN (SELECT x.country, x.id, x.key FROM (SELECT country, source, entity_id AS id, unnest(list_distinct(name_tokens)) AS key FROM t) x JOIN rare USING (country, source, key)) b USING (country, key)""",
+    "address_anchor": "SELECT DISTINCT qa.id AS q_id, x.id AS t_id FROM qa JOIN (SELECT ta.* FROM ta JOIN ok USING (country, source, key)) x USING (country, key)",
+    "compound": "SELECT DISTINCT qc.id AS q_id, tc.id AS t_id FROM qc JOIN tc USING (country, key)",
+}
+TOP = f"""{ER}, {CORES}, {RARE.format(p=0.05)}, qa AS (SELECT country, entity_id AS id, unnest({ANCHOR}) AS key FROM q), ta AS (SELECT country, source, entity_id AS id, unnest({ANCHOR}) AS key FROM t),
+  ok AS (SELECT country, source, key FROM ta GROUP BY ALL HAVING count(*) BETWEEN 2 AND 200),
+  qc AS (SELECT country, entity_id AS id, unnest({COMPOUND}) AS key FROM q), tc AS (SELECT country, entity_id AS id, unnest({COMPOUND}) AS key FROM t),
+  ch AS ({" UNION ALL ".join(f"SELECT q_id, source, t_id, '{name}' AS channel, rank FROM ({_ranked(sql)})" for name, sql in _CHANNELS.items())}),
+  mg AS (SELECT q_id, source, t_id, list_sort(list(DISTINCT channel)) AS channels, min(rank) AS best_rank, max((channel = 'exact_name')::INT) AS en, max((channel = 'exact_addr')::INT) AS ea, max((channel = 'rare_token')::INT) AS rt, max((channel = 'address_anchor')::INT) AS aa FROM ch GROUP BY 1, 2, 3),
+  ev AS (SELECT mg.*, {_j("addr_numbers")} AS no, CASE WHEN q.addr_empty OR t.addr_empty THEN 0.0 ELSE {JAC.format(a="string_split(strip_accents(q.addr_norm), ' ')", b="string_split(strip_accents(t.addr_norm), ' ')")} END AS ad FROM mg JOIN q ON q.entity_id = q_id JOIN t ON t.entity_id = t_id),
+  sc AS (SELECT *, round((4.0 * en + 3.0 * ea + 1.5 * rt + 1.8 * aa)::DOUBLE + 2.0 * ad + 1.5 * no + (0.15 * len(channels))::DOUBLE + 0.05::DOUBLE / greatest(best_rank, 1), 9) AS cand_score FROM ev),
+  top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id, source ORDER BY cand_score DESC, t_id) AS rn FROM sc) WHERE rn <= {K})"""
+
+
+def _balanced(budget: int) -> str:
+    return f"""i1 AS (SELECT *, rn <= CASE WHEN source = 'S2' THEN {(budget + 1) // 2} ELSE {budget // 2} END AS own FROM top),
+  i2 AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY own DESC, cand_score DESC, t_id) AS place FROM i1),
+  bal AS (SELECT *, CAST(row_number() OVER (PARTITION BY q_id ORDER BY cand_score DESC, t_id) AS INTEGER) AS rank FROM i2 WHERE place <= {budget})"""
+
+
+@query(f"WITH {TOP} SELECT q_id, source, t_id, array_to_string(channels, ',') AS channels, best_rank, round(cand_score, 6) AS score, CAST(rn AS INTEGER) AS rank FROM top")
 def candidate_topk(spark, d):
     c = candidate_rows(spark, d)
     return c.select("q_id", "source", "t_id", F.array_join("channels", ",").alias("channels"), "best_rank", F.round("cand_score", 6).alias("score"), F.col("rn").alias("rank"))
 
 
-@query()
+@query(f"WITH {TOP}, {_balanced(BUDGET)} SELECT q_id, source, t_id, rank, round(cand_score, 6) AS score FROM bal")
 def balanced_merge(spark, d):
     return B.balanced(candidate_rows(spark, d), BUDGET).select("q_id", "source", "t_id", "rank", F.round("cand_score", 6).alias("score"))
 
@@ -258,7 +310,12 @@ def blocking_report(spark, d):
     return metrics.blocking_report(truth(spark, d), exact_lists(spark, d))
 
 
-@query()
+@query(f"""WITH {TOP}, {_balanced(25)}, ks AS (SELECT unnest([1, 2, 3, 4, 6, 8]) AS k),
+   c AS (SELECT k, q_id AS s1_id, count(*) AS n_cand, count(tp.s1_id) AS hits FROM bal JOIN ks ON rank <= k LEFT JOIN tp ON tp.s1_id = q_id AND target_id = t_id GROUP BY 1, 2),
+   e AS (SELECT ks.k, len(target_ids) AS n, coalesce(n_cand, 0) AS n_cand, coalesce(hits, 0) AS tp FROM truth CROSS JOIN ks LEFT JOIN c ON c.k = ks.k AND c.s1_id = truth.s1_id),
+   g AS (SELECT CAST(k AS INTEGER) AS k, round(sum(tp) / sum(n), 9) AS pair_recall, round(avg((tp = n)::INT), 9) AS complete_recall, round(avg(CASE WHEN n = 0 THEN 1.0 WHEN tp = 0 THEN 0.0 ELSE 5.0 * tp / (4.0 * tp + n) END), 9) AS oracle_f05,
+     round(quantile_cont(n_cand, 0.95), 9) AS p95_candidates FROM e GROUP BY 1)
+   SELECT *, round(oracle_f05 - lag(oracle_f05) OVER (ORDER BY k), 9) AS delta, k = (SELECT min(k) FROM g WHERE oracle_f05 >= 0.995 * (SELECT max(oracle_f05) FROM g)) AS recommended FROM g""")
 def pareto_by_k(spark, d):
     ranked = B.balanced(candidate_rows(spark, d), 25).select(F.col("q_id").alias("s1_id"), F.col("t_id").alias("target_id"), "rank")
     return metrics.pareto(truth(spark, d), ranked, [1, 2, 3, 4, 6, 8])
@@ -332,7 +389,11 @@ def empty_rate(spark, d):
     return profile.empty_rate(records(spark, d))
 
 
-@query()
+_INDIC = "[\\x{900}-\\x{D7F}]"
+
+
+@query("SELECT lang AS country, 'Latin' AS script, count(*) AS n, count(*) FILTER (regexp_matches(text, '" + _INDIC + "')) AS n_indic, "
+       + ", ".join(f"count(*) FILTER (regexp_matches(text, '[\\x{{{a:x}}}-\\x{{{b:x}}}]')) AS any_{k.lower()}" for k, (a, b) in X.INDIC.items()) + " FROM documents GROUP BY 1")
 def script_profile(spark, d):
     return profile.script_profile(raw_records(spark, d), F.col("text"), "country")
 
@@ -465,6 +526,57 @@ def gbt_match(spark, d):
     return training.predict(model, labelled, used).select("q_id", "t_id", "label", F.round("prob", 6).alias("prob"))
 
 
+@query(f"WITH {ER}, c AS (SELECT unnest([{{'source': 'S2', 'matches': len(list_filter(target_ids, lambda i: i LIKE 'S2%'))}}, {{'source': 'S3', 'matches': len(list_filter(target_ids, lambda i: i LIKE 'S3%'))}}], recursive := true) FROM truth) SELECT source, CAST(matches AS INTEGER) AS matches, count(*) AS n FROM c GROUP BY ALL")
+def source_histograms(spark, d):
+    return profile.source_histograms(truth(spark, d))
+
+
+@query(f"WITH {ER} SELECT source, country, count(*) AS matched, count(*) FILTER (addr_empty) AS n_empty FROM t WHERE entity_id IN (SELECT target_id FROM tp) GROUP BY ALL")
+def empty_among_matches(spark, d):
+    return profile.empty_among_matches(records(spark, d, "addr_empty").filter("source <> 'S1'"), truth_pairs(spark, d))
+
+
+@query(f"WITH {ER} SELECT count(*) AS queries, count(*) FILTER (len(target_ids) > 0) AS with_match, CAST(sum(len(target_ids)) AS BIGINT) AS matches, round(avg(len(target_ids)), 9) AS mean_matches FROM truth")
+def run_summary(spark, d):
+    return profile.run_summary(truth(spark, d).withColumnRenamed("target_ids", "ids"))
+
+
+@query(f"WITH {ER}, k AS (SELECT *, {CORE} AS core, strip_accents(name_norm) AS folded FROM er) SELECT entity_id, array_to_string(CASE WHEN core = name_norm THEN [] ELSE [core] END || CASE WHEN name_norm = '' THEN [] ELSE [name_norm] END || CASE WHEN folded = name_norm OR folded = core THEN [] ELSE [folded] END, ' ') AS name_view, strip_accents(addr_norm) AS address_view FROM k")
+def retrieval_views(spark, d):
+    c = F.col
+    r = records(spark, d, "name_norm", "name_core", "name_folded", "name_translit", "addr_folded", "addr_norm")
+    return r.select("entity_id", X.name_view(c("name_core"), c("name_norm"), c("name_folded"), c("name_translit")).alias("name_view"), X.address_view(c("addr_folded"), c("addr_norm")).alias("address_view"))
+
+
+@query("""SELECT doc_id, CASE WHEN lower(text) IN ('', 'null', '<null>', 'none') THEN '' ELSE trim(regexp_replace(regexp_replace(lower(text), '[^\\p{L}\\p{N}\\p{Mn}\\p{Mc}\\p{Zs}]', '', 'g'), '\\p{Zs}+', ' ', 'g')) END AS older_norm FROM documents""")
+def older_normalised(spark, d):
+    return table(spark, d, "documents").select("doc_id", X.deleted_punctuation(F.col("text")).alias("older_norm"))
+
+
+@query("SELECT doc_id, CASE WHEN regexp_matches(text, '[A-z]') THEN 'Latin' ELSE 'Unknown' END AS script FROM documents")
+def script_by_ranges(spark, d):
+    return table(spark, d, "documents").select("doc_id", X.range_script(F.col("text")).alias("script"))
+
+
+@query("SELECT c.entity_id AS key, 'sources_disjoint' AS rule FROM (SELECT o_custkey::VARCHAR AS entity_id FROM orders GROUP BY 1) c JOIN (SELECT l_suppkey::VARCHAR AS entity_id FROM lineitem GROUP BY 1) l USING (entity_id)")
+def source_overlap(spark, d):
+    return contracts.overlap(table(spark, d, "orders").select(F.col("o_custkey").alias("entity_id")), table(spark, d, "lineitem").select(F.col("l_suppkey").alias("entity_id")))
+
+
+@query("SELECT CAST(floor(o_orderkey / 25000) AS BIGINT) AS shard, count(*) AS n, min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders GROUP BY 1")
+def query_shards(spark, d):
+    return table(spark, d, "orders").groupBy(B.shard(F.col("o_orderkey")).alias("shard")).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"))
+
+
+@query(f"""WITH {PARTS}, s AS (SELECT country, source, name_norm, count(*) AS n FROM t WHERE name_norm <> '' GROUP BY ALL HAVING count(*) > 15),
+   x AS (SELECT q.entity_id, s.country, s.source, s.name_norm, EXISTS (SELECT 1 FROM t WHERE t.country = s.country AND t.source = s.source AND t.name_norm = s.name_norm AND (len(list_intersect(q.addr_numbers, t.addr_numbers)) > 0 OR coalesce(q.addr_postal = t.addr_postal, false))) AS kept
+         FROM q JOIN s ON s.country = q.country AND s.name_norm = q.name_norm)
+   SELECT country, source, count(DISTINCT name_norm) AS n_buckets, count(*) AS n_queries FROM x WHERE NOT kept GROUP BY ALL""")
+def bucket_overflow_counts(spark, d):
+    p = parts(spark, d)
+    return B.overflow(p.filter("source = 'S1'"), p.filter("source = 'S2'"), K, 15)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_queries)
 

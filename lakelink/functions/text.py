@@ -152,6 +152,35 @@ def combined_view(core: Column, name: Column, translit: Column, addr_tokens: Col
     return F.concat_ws(" ", main, F.when(name != main, name), F.when((translit != main) & (translit != ""), translit), F.slice(addr_tokens, 1, 4), tail)
 
 
+def name_view(core: Column, norm: Column, folded: Column, translit: Column) -> Column:
+    """Retrieval text of a name: its distinct non-empty forms, then its fold without any mark."""
+    return F.array_join(F.array_distinct(F.filter(F.array(core, norm, folded, translit, by_script(norm, retrieval_fold)), lambda x: x != "")), " ")
+
+
+def address_view(folded: Column, norm: Column) -> Column:
+    return by_script(F.coalesce(F.nullif(folded, F.lit("")), norm), retrieval_fold)
+
+
+@F.pandas_udf(T.StringType())
+def nfkc_lower(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x).lower())
+
+
+def deleted_punctuation(x: Column) -> Column:
+    """The older normal form: what is no letter, digit, mark or space is deleted, not made a space; a missing text is empty."""
+    y = F.regexp_replace(by_script(x, nfkc_lower), r"[^\p{L}\p{N}\p{Mn}\p{Mc}\p{Zs}]", "")
+    return F.when(x.isNull() | F.lower(x).isin("", "null", "<null>", "none"), "").otherwise(F.trim(F.regexp_replace(y, r"\p{Zs}+", " ")))
+
+
+def range_script(x: Column) -> Column:
+    """The script with most code points in its block ('Latin' is U+0041 to U+007A), 'Unknown' if there are none; ties go to the one met first."""
+    blocks = {"Latin": (0x41, 0x7A), **INDIC}
+    n = {k: F.regexp_count(x, F.lit(f"[\\x{{{a:x}}}-\\x{{{b:x}}}]")) for k, (a, b) in blocks.items()}
+    before = {k: F.length(F.regexp_extract(x, f"^[^\\x{{{a:x}}}-\\x{{{b:x}}}]*", 0)) for k, (a, b) in blocks.items()}
+    best = F.array_max(F.array(*(F.struct(n[k].alias("n"), (-before[k]).alias("p"), F.lit(k).alias("k")) for k in blocks)))
+    return F.when(F.coalesce(best["n"], F.lit(0)) == 0, "Unknown").otherwise(best["k"])
+
+
 def record(name: Column, address: Column, dictionary: Column | None = None) -> list[dict[str, Column]]:
     """Columns of a preprocessed record, in steps: the columns of a step read those of the one before, so each is worked out once."""
     n, a, words = F.col("name_norm"), F.col("addr_norm"), F.col("addr_digit_words")

@@ -68,6 +68,22 @@ def exact_name(q: DataFrame, t: DataFrame, k: int, most: int = 100) -> DataFrame
     return ranked(whole.unionByName(fine), limit)
 
 
+def overflow(q: DataFrame, t: DataFrame, k: int, most: int = 100) -> DataFrame:
+    """Buckets beyond `most` that exact_name() drops for want of a shared number or postal code: (country, source, n_buckets, n_queries)."""
+    left, right = keyed(q, F.col("name_norm"), "q"), keyed(t, F.col("name_norm"), "t")
+    sizes = right.groupBy("country", "source", "key").agg(F.count("*").alias("n")).filter(F.col("n") > most)
+    marks = lambda p: F.array_distinct(F.concat(F.transform(f"{p}_addr_numbers", lambda x: x.cast("string")), F.when(F.col(f"{p}_addr_postal").isNotNull(), F.array(F.concat(F.lit("@"), f"{p}_addr_postal"))).otherwise(F.array().cast("array<string>"))))
+    a, b = left.select("country", "key", "q_id", F.explode(marks("q")).alias("z")), right.select("country", "source", "key", F.explode(marks("t")).alias("z")).distinct()
+    kept = a.join(b, ["country", "key", "z"]).select("q_id", "source", "key").distinct()
+    lost = left.select("country", "key", "q_id").join(sizes, ["country", "key"]).join(kept, ["q_id", "source", "key"], "left_anti")
+    return lost.groupBy("country", "source").agg(F.countDistinct("key").alias("n_buckets"), F.count("*").alias("n_queries"))
+
+
+def shard(ordinal: Column, rows: int = 25000) -> Column:
+    """Number of the shard of consecutive queries."""
+    return F.floor(ordinal / rows).cast("long")
+
+
 def document_frequency(t: DataFrame, column: Column) -> DataFrame:
     return t.select("country", "source", "entity_id", F.explode(F.array_distinct(column)).alias("key")).groupBy("country", "source", "key").agg(F.count("*").alias("df"))
 

@@ -49,6 +49,25 @@ def output(s1: DataFrame, candidates: DataFrame, matches: DataFrame) -> DataFram
     return found.unionByName(extra)
 
 
+def overlap(*sources: DataFrame, key: str = "entity_id") -> DataFrame:
+    """Ids that more than one source holds."""
+    every = None
+    for k, d in enumerate(sources):
+        one = d.select(F.col(key).cast("string").alias("key"), F.lit(k).alias("k"))
+        every = one if every is None else every.unionByName(one)
+    return every.groupBy("key").agg(F.min("k").alias("a"), F.max("k").alias("b")).filter("a < b").select("key", F.lit("sources_disjoint").alias("rule"))
+
+
+def rebuilt_metadata(compact: DataFrame, key: str = "target_id") -> DataFrame:
+    """Compact rows with channels rebuilt: opaque names, of which only the number counts. A missing column or broken field is an error."""
+    lost = [c for c in METADATA if c not in compact.columns]
+    if lost:
+        raise ValueError(f"metadata lacks {lost}")
+    d = compact.withColumn("channels", F.when(F.col("channel_count") > 0, F.transform(F.sequence(F.lit(1), F.greatest("channel_count", F.lit(1))), lambda i: F.concat(F.lit("channel_"), i.cast("string")))).otherwise(F.array().cast("array<string>")))
+    require_none(metadata(d, key))
+    return d
+
+
 def feature_columns(df: DataFrame, features: list[str]) -> list[str]:
     """Required columns that df lacks; more are allowed."""
     return [c for c in ["ordinal", "s1_id", "target_id", *features, *METADATA] if c not in df.columns]

@@ -50,3 +50,22 @@ def sample_groups(truth: DataFrame, s1: DataFrame, each: dict[str, int]) -> Data
     one = d.groupBy("country", "m").agg(F.min("s1_id").alias("s1_id"))
     most = F.create_map(*[F.lit(x) for kv in each.items() for x in kv])
     return one.withColumn("n", F.row_number().over(Window.partitionBy("country").orderBy("m"))).filter(F.col("n") <= F.coalesce(most[F.col("country")], F.lit(0))).select("country", "m", "s1_id")
+
+
+def source_histograms(truth: DataFrame) -> DataFrame:
+    """Queries by their number of matches in each source."""
+    of = lambda p: F.size(F.filter("target_ids", lambda x: x.startswith(p)))
+    d = truth.select(F.explode(F.array(*(F.struct(F.lit(p).alias("source"), of(p).alias("matches")) for p in ("S2", "S3")))).alias("x"))
+    return d.groupBy("x.source", "x.matches").agg(F.count("*").alias("n"))
+
+
+def empty_among_matches(targets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Matched targets and those without an address, by source and country."""
+    held = targets.join(pairs.select(F.col("target_id").alias("entity_id")).distinct(), "entity_id", "left_semi")
+    return held.groupBy("source", "country").agg(F.count("*").alias("matched"), F.count_if("addr_empty").alias("n_empty"))
+
+
+def run_summary(lists: DataFrame) -> DataFrame:
+    """One row on a run's output (s1_id, ids): queries, those with a match, all matches and the mean of a query."""
+    n = F.size("ids")
+    return lists.agg(F.count("*").alias("queries"), F.count_if(n > 0).alias("with_match"), F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("matches"), F.round(F.coalesce(F.avg(n), F.lit(0.0)), 9).alias("mean_matches"))
