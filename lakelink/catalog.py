@@ -500,7 +500,21 @@ def fuzzy_ratio_family(spark, d):
     return name_pairs(spark, d).select("a", "b", r(S.ratio_udf).alias("ratio"), r(S.sort_ratio_udf).alias("sort"), r(S.set_ratio_udf).alias("set"), r(S.partial_ratio_udf).alias("partial"))
 
 
-@query()
+_STANDARD = "map_extract(MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in X.SUFFIXES.items()) + "}, name_tokens[-{k}])[1]"
+_FORMS = ", ".join(f"CASE WHEN {_ENDS} >= {k} THEN {_STANDARD.replace('{k}', str(k))} END" for k in (3, 2, 1))
+_PAIR = {
+    "name_len_ratio": "coalesce(least(length(a.name_norm), length(b.name_norm))::DOUBLE / nullif(greatest(length(a.name_norm), length(b.name_norm)), 0), 0)", "name_exact": "a.name_norm <> '' AND a.name_norm = b.name_norm",
+    "name_folded_exact": "a.folded <> '' AND a.folded = b.folded", "suffix_match": "a.suffix <> '' AND a.suffix = b.suffix", "suffix_mismatch": "a.suffix <> '' AND b.suffix <> '' AND a.suffix <> b.suffix", "first_tok_match": "coalesce(a.name_tokens[1] = b.name_tokens[1], false)",
+    "is_cross_script": "false", "either_addr_empty": "a.addr_empty OR b.addr_empty", "both_addr_empty": "a.addr_empty AND b.addr_empty", "addr_exact": "w AND a.addr_norm = b.addr_norm", "num_match": "w AND shared", "num_any_overlap": "w AND shared",
+    "num_exact_set": "w AND nums AND a.addr_numbers = b.addr_numbers", "num_jaccard": f"CASE WHEN w THEN {JAC.format(a='a.addr_numbers', b='b.addr_numbers')} ELSE 0 END", "num_conflict": "w AND nums AND a.addr_numbers <> b.addr_numbers",
+    "post_match": "w AND coalesce(a.addr_postal = b.addr_postal, false)", "post_conflict": "w AND coalesce(a.addr_postal <> b.addr_postal, false)", "is_s2": "top.source = 'S2'", "channel_count": "len(channels)", "exact_name_hit": "en", "exact_addr_hit": "ea", "rare_token_hit": "rt",
+    "address_anchor_hit": "aa", "tfidf_name_score": "0", "tfidf_addr_score": "ad", "reciprocal_rank": "1.0::DOUBLE / (best_rank + 1)",
+}
+
+
+@query(f"""WITH {TOP}, fr AS (SELECT *, strip_accents(name_norm) AS folded, array_to_string(list_filter([{_FORMS}], lambda x: x IS NOT NULL), ' ') AS suffix FROM er)
+   SELECT q_id, t_id, top.source, {", ".join(f"CAST({v} AS DOUBLE) AS {k}" for k, v in _PAIR.items())}
+   FROM top JOIN fr a ON a.entity_id = q_id JOIN fr b ON b.entity_id = t_id, LATERAL (SELECT NOT a.addr_empty AND NOT b.addr_empty AS w, len(a.addr_numbers) > 0 AND len(b.addr_numbers) > 0 AS nums, len(list_intersect(a.addr_numbers, b.addr_numbers)) > 0 AS shared)""")
 def pair_features_boolean(spark, d):
     q, t = whole_sides(spark, d)
     return features.pair_features(candidate_rows(spark, d), q, t, strings=False)
@@ -563,9 +577,9 @@ def source_overlap(spark, d):
     return contracts.overlap(table(spark, d, "orders").select(F.col("o_custkey").alias("entity_id")), table(spark, d, "lineitem").select(F.col("l_suppkey").alias("entity_id")))
 
 
-@query("SELECT CAST(floor(o_orderkey / 25000) AS BIGINT) AS shard, count(*) AS n, min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders GROUP BY 1")
+@query("SELECT CAST(floor(o_orderkey / 1000) AS BIGINT) AS shard, count(*) AS n, min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders GROUP BY 1")
 def query_shards(spark, d):
-    return table(spark, d, "orders").groupBy(B.shard(F.col("o_orderkey")).alias("shard")).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"))
+    return table(spark, d, "orders").groupBy(B.shard(F.col("o_orderkey"), 1000).alias("shard")).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"))
 
 
 @query(f"""WITH {PARTS}, s AS (SELECT country, source, name_norm, count(*) AS n FROM t WHERE name_norm <> '' GROUP BY ALL HAVING count(*) > 15),
