@@ -73,6 +73,6 @@ def invalidate(folder: str | Path, stages: list[str], start: str) -> list[str]:
 
 
 def run_folder(root: str | Path, run_id: str) -> Path:
-    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]{0,63}", run_id):
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]{0,79}", run_id):
         raise ValueError(f"bad run id {run_id!r}")
     return Path(os.environ.get("LAKELINK_RUNS", root)) / run_id

@@ -10,7 +10,7 @@ FIELDS = ["entity_id", "business_name", "business_address", "country"]
 
 def read_lenient(spark: SparkSession, path: str, country: str | None = None) -> DataFrame:
     """Tab-separated, no quoting; lines are stripped and missing fields are empty."""
-    d = _lines(spark, path).select(F.split(F.trim("value"), "\t").alias("f"))
+    d = _lines(spark, path).select(F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), "\t").alias("f"))
     d = d.select(*(F.coalesce(F.get("f", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(FIELDS))).filter(F.col("entity_id") != FIELDS[0])
     return d.filter(F.upper(F.trim("country")) == country) if country else d
 
@@ -66,13 +66,16 @@ def write_parts(rows: DataFrame, path: str) -> None:
 
 
 def merge_parts(s1: DataFrame, *parts: DataFrame) -> DataFrame:
-    """All parts in the queries' order; a query without a row is an error."""
+    """All parts in the queries' order; a query without a row, or with two, is an error."""
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
     lost = s1.select("s1_id").join(every, "s1_id", "left_anti").limit(5).collect()
     if lost:
         raise ValueError(f"queries without a row: {[r[0] for r in lost]}")
+    twice = every.groupBy("s1_id").count().filter("count > 1").limit(5).collect()
+    if twice:
+        raise ValueError(f"queries with several rows: {[r[0] for r in twice]}")
     return s1.select("s1_id", "ordinal").join(every.drop("ordinal"), "s1_id").orderBy("ordinal")
 
 

@@ -89,6 +89,10 @@ def test_sources(spark, tmp_path):
     s1 = spark.createDataFrame([("a", 0), ("b", 1)], "s1_id string, ordinal long")
     with pytest.raises(ValueError):
         tables.merge_parts(s1, spark.createDataFrame([("a", "x")], "s1_id string, ids string"))
+    with pytest.raises(ValueError):
+        tables.merge_parts(s1, spark.createDataFrame([("a", "x"), ("b", "y"), ("b", "z")], "s1_id string, ids string"))
+    f.write_text("e1\tName\tStreet\tUS\t\n")
+    assert tuple(tables.read_lenient(spark, str(f)).first()) == ("e1", "Name", "Street", "US")
 
 
 def test_manifest(tmp_path):
