@@ -73,3 +73,11 @@ def test_older_forms(spark):
     assert [r.n for r in got] == ["ab c é", "", "", "कि a", "12", "12"] and [r.s for r in got] == ["Latin", "Latin", "Unknown", "Devanagari", "Latin", "Unknown"]
     one = spark.createDataFrame([("cafe", "café sa", "cafe sa", "", "", "Bât 3")], "c string, n string, f string, t string, af string, an string")
     assert tuple(one.select(text.name_view(one.c, one.n, one.f, one.t), text.address_view(one.af, one.an)).first()) == ("cafe café sa cafe sa", "bat 3")
+
+
+def test_ties_to_nine_places(spark):
+    """1.5 * 0 + 2 * 3/5 and 1.5 * 4/5 differ in the last bit of a double; the smaller id comes first."""
+    held = "name_tokens array<long>, {p}_addr_tokens array<long>, {p}_addr_numbers array<long>, {p}_addr_postal string"
+    pairs = spark.createDataFrame([("q", "S2", "a", [1], [1, 2, 3, 4, 5], [], None, [2], [1, 2, 3], [], None), ("q", "S2", "b", [1, 2, 3, 4, 5], [1], [], None, [1, 2, 3, 4], [2], [], None)],
+                                  "q_id string, source string, t_id string, q_" + held.format(p="q") + ", t_" + held.format(p="t"))
+    assert [(r.t_id, r["rank"]) for r in blocking.ranked(pairs, 2).orderBy("rank").collect()] == [("a", 1), ("b", 2)]
