@@ -81,3 +81,14 @@ def test_ties_to_nine_places(spark):
     pairs = spark.createDataFrame([("q", "S2", "a", [1], [1, 2, 3, 4, 5], [], None, [2], [1, 2, 3], [], None), ("q", "S2", "b", [1, 2, 3, 4, 5], [1], [], None, [1, 2, 3, 4], [2], [], None)],
                                   "q_id string, source string, t_id string, q_" + held.format(p="q") + ", t_" + held.format(p="t"))
     assert [(r.t_id, r["rank"]) for r in blocking.ranked(pairs, 2).orderBy("rank").collect()] == [("a", 1), ("b", 2)]
+
+
+def test_whole_name_buckets(spark, tmp_path):
+    """The query on equal names ranks every target of a bucket, whatever its size."""
+    from lakelink import catalog
+
+    rows = [(3 * i, f"Acme\nrue {i}", "en", "web", 1) for i in range(2)] + [(3 * i + 1, f"Acme\nplace {i}", "en", "web", 1) for i in range(130)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalog.queries()["exact_name_block"](spark, str(tmp_path)).groupBy("q_id").count().collect()
+    assert {r.q_id: r["count"] for r in got} == {"S1-0": 20, "S1-3": 20}
+    assert catalog.queries()["blocking_report"](spark, str(tmp_path)).first().total_candidates == 40
