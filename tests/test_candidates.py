@@ -92,3 +92,20 @@ def test_whole_name_buckets(spark, tmp_path):
     got = catalog.queries()["exact_name_block"](spark, str(tmp_path)).groupBy("q_id").count().collect()
     assert {r.q_id: r["count"] for r in got} == {"S1-0": 20, "S1-3": 20}
     assert catalog.queries()["blocking_report"](spark, str(tmp_path)).first().total_candidates == 40
+
+
+def test_buckets_in_chunks(spark):
+    """Large buckets dealt to chunks give what all pairs give, ids that repeat count once, and no country meets no country."""
+    import random
+
+    from lakelink.operators import buckets
+
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(f"S{1 + (i % 3 == 0)}_{i % 140:03d}", r.choice(["FRANCE", "FRANCE", "INDIA", None]), "Acme", " ".join(r.choices(words, k=r.randint(0, 12))) + r.choice(["", " 75001", " 75001 12", " 12"])) for i in range(150)]
+    q, t = sides(spark, rows)
+    left, right = (blocking.keyed(d, d.name_norm, p) for d, p in ((q, "q"), (t, "t")))
+    want = blocking.ranked(left.join(right, ["country", "key"]), 5).collect()
+    for chunk in (8, 8192):
+        got = blocking.first_ranks(buckets.best_in_buckets(left, right, 5, chunk), 5).collect()
+        assert len(want) > 100 and {tuple(x) for x in got} == {tuple(x) for x in want}
