@@ -194,3 +194,15 @@ def test_top_k(spark):
         best = sorted((-float(v[q] @ v[c]), c) for c in range(300) if c != q)[:5]
         want += [(q, k + 1, c, int(-s)) for k, (s, c) in enumerate(best)]
     assert got == want
+
+
+def test_block_visits_each_node_once(monkeypatch):
+    """Queries of a block go down a ball tree together, and find what brute force finds."""
+    r = np.random.default_rng(2)
+    x, visits = r.integers(-20, 20, (700, 16)).astype(float), []
+    monkeypatch.setattr(balltree.heapq, "heappop", lambda h, pop=balltree.heapq.heappop: visits.append(1) or pop(h))
+    tree = balltree.Tree(np.arange(700), x)
+    got = {i: sorted(b, reverse=True) for i, b in tree.search(np.arange(60), x[:60], np.full(60, -np.inf), 5)}
+    assert len(visits) <= len(tree.left)
+    for i, b in got.items():
+        assert b == sorted(((float(x[i] @ x[j]), -j) for j in range(700) if j != i), reverse=True)[:5]
