@@ -129,7 +129,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def fits(n: Column, most: Column, n2: Column, most2: Column) -> Column:
         return (100 * F.least(n, n2) >= percent * F.greatest(n, n2)) & ((100 + percent) * F.least(most, most2) >= percent * (n + n2))
 
-    comp = connect(buckets, chosen.withColumnRenamed("sh", "x"), linked, near, fits=fits)
+    comp = connect(buckets, chosen.withColumnRenamed("sh", "x"), linked, near, fits=fits, percent=percent)
     drop(buckets, chosen)
     rep_of = reps.select("s1", "s2", "rep")
     if comp is not None:

@@ -206,3 +206,14 @@ def test_block_visits_each_node_once(monkeypatch):
     assert len(visits) <= len(tree.left)
     for i, b in got.items():
         assert b == sorted(((float(x[i] @ x[j]), -j) for j in range(700) if j != i), reverse=True)[:5]
+
+
+def test_last_step_counts_whole_buckets():
+    """One part of the last step: groups of a bucket that full sets link are linked, no others, whatever other keys hold; one link for two groups."""
+    import pyarrow as pa
+
+    from lakelink.llm.groups import set_links
+
+    rows = [(k, 10 * k + i, 10 * k + g, minor, x) for k in (1, 2) for i, g, minor, x in [(0, 0, False, list(range(100))), (1, 0, False, list(range(1, 101))), (2, 2, True, list(range(8, 100))), (3, 3, True, list(range(20, 120))), (4, 4, True, [*range(20, 116)])]]
+    table = pa.table({c: pa.array(v, t) for c, v, t in zip(("key", "id", "root", "minor", "x"), zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64())))})
+    assert sorted(map(tuple, (r.values() for r in set_links(85)(None, table).to_pylist()))) == [(10, 12), (13, 14), (20, 22), (23, 24)]
