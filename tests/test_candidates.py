@@ -1,6 +1,7 @@
 """Retrieval, quotas, pair features and contracts on small cases with known results."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakelink.functions import text
 from lakelink.operators import blocking, contracts, features
@@ -109,3 +110,20 @@ def test_buckets_in_chunks(spark):
     for chunk in (8, 8192):
         got = blocking.first_ranks(buckets.best_in_buckets(left, right, 5, chunk), 5).collect()
         assert len(want) > 100 and {tuple(x) for x in got} == {tuple(x) for x in want}
+
+
+def test_all_pairs_of_a_bucket(spark):
+    """Without a limit every two rows with equal names give a row, also those that repeat an id, from chunks as from a join."""
+    from collections import Counter
+
+    from lakelink.operators import buckets
+
+    rows = [(f"S{1 + i % 3}_{i % 25:02d}", "FRANCE" if i % 7 else None, ["Acme", "Boulangerie Etoile"][i % 2], f"{i % 5} rue {i % 4} de Paris 7500{i % 3}") for i in range(90)]
+    q, t = sides(spark, rows)
+    left, right = (blocking.keyed(d, d.name_norm, p) for d, p in ((q, "q"), (t, "t")))
+    pairs = left.join(right, ["country", "key"])
+    want = Counter(tuple(x) for x in pairs.select("q_id", "source", "t_id", F.round(blocking.agreement(), 9)).collect())
+    assert max(want.values()) > 1
+    for chunk in (8, 2048):
+        assert Counter(tuple(x) for x in buckets.best_in_buckets(left, right, None, chunk).collect()) == want
+    assert blocking.all_equal(q, t, "name_norm").count() == sum(want.values())
