@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .wordhash import trim
 
 _made: list[str] = []
+#: Spark deletes the shuffle files of an execution that ends while this holds; otherwise they stay until the driver collects its garbage.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def root(spark: SparkSession) -> str:
@@ -26,9 +28,15 @@ def root(spark: SparkSession) -> str:
 
 
 def save(df: DataFrame, *partition_by: str) -> DataFrame:
-    """Write df once as a table in the shared folder and return the table."""
+    """Write df once as a table in the shared folder and return the table. The shuffle files of the writing go at once."""
     path = f"{root(df.sparkSession)}/lakelink-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN, "false")
+    conf.set(_CLEAN, "true")
+    try:
+        df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
+    finally:
+        conf.set(_CLEAN, before)
     if not _made:
         atexit.register(drop_all)
     _made.append(path)
