@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakelink import catalog
 from lakelink.operators import blocking as B
+from lakelink.operators import features
 from lakelink.operators.cells import key_candidates
 
 from test_candidates import sides
@@ -45,3 +46,13 @@ def test_no_join_of_pairs_with_sets(spark, tmp_path):
     spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     plan = catalog.queries()["candidate_topk"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "FlatMapGroupsInArrow" in plan
+
+
+def test_features_without_texts(spark):
+    """Without string distances features are the same, and digests take the place of texts in the joins."""
+    q, t = sides(spark, rows())
+    pairs = by_channels(q, t, 2)
+    plain = features.pair_features(pairs, q, t, strings=False)
+    whole = features.pair_features(pairs, q, t).select(*plain.columns)
+    assert "md5(" in plain._jdf.queryExecution().optimizedPlan().toString()
+    assert {tuple(r) for r in plain.collect()} == {tuple(r) for r in whole.collect()} and plain.count() > 100
