@@ -56,3 +56,14 @@ def test_features_without_texts(spark):
     whole = features.pair_features(pairs, q, t).select(*plain.columns)
     assert "md5(" in plain._jdf.queryExecution().optimizedPlan().toString()
     assert {tuple(r) for r in plain.collect()} == {tuple(r) for r in whole.collect()} and plain.count() > 100
+
+
+def test_training_reads_a_written_table(spark, tmp_path, monkeypatch):
+    """The passes of the training read features that were written once, and do not work them out anew."""
+    data = [(i, n + "\n" + a, c, "web", 1) for i, (_, c, n, a) in enumerate(rows()[:90])]
+    spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    seen = []
+    monkeypatch.setattr(catalog.training, "fit", lambda table, *a, **k: seen.append(table))
+    monkeypatch.setattr(catalog.training, "predict", lambda model, table, used: table.withColumn("prob", F.lit(0.0)))
+    catalog.queries()["gbt_match"](spark, str(tmp_path))
+    assert len(seen[0].inputFiles()) and not any("documents.parquet" in f for f in seen[0].inputFiles())
