@@ -66,3 +66,13 @@ def test_candidates_give_what_the_channels_give(spark):
     assert len(want) > 500 and any("char_name" == x[3] for x in want) and {tuple(x) for x in got.select(*columns).collect()} == want
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "gram" not in plan and "addr_tokens" not in plan  # pairs are joined neither by n-grams nor with sets
+
+
+def test_features_read_written_candidates(spark, tmp_path):
+    """The features' joins with texts begin from a written table of the best k, so the files of its shuffles are gone."""
+    from lakelink import catalog
+
+    data = [(i, f"{w} ring", f"Brand#{i % 5}", "LARGE", i % 7) for i in range(24) for w in [("hot", "cold", "blue")[i % 3]]]
+    spark.createDataFrame(data, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    d = catalog.queries()["pair_features_full"](spark, str(tmp_path))
+    assert "Window" not in d._jdf.queryExecution().optimizedPlan().toString() and any("lakelink-" in f for f in d.inputFiles()) and d.count() > 20
