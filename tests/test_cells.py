@@ -67,3 +67,16 @@ def test_training_reads_a_written_table(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(catalog.training, "predict", lambda model, table, used: table.withColumn("prob", F.lit(0.0)))
     catalog.queries()["gbt_match"](spark, str(tmp_path))
     assert len(seen[0].inputFiles()) and not any("documents.parquet" in f for f in seen[0].inputFiles())
+
+
+def test_classifier_gets_every_feature(spark, tmp_path, monkeypatch):
+    """The classifier learns from all features, those of string distances included, with the values of pair_features()."""
+    data = [(i, n + "\n" + a, c, "web", 1) for i, (_, c, n, a) in enumerate(rows()[:120])]
+    spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    seen = []
+    monkeypatch.setattr(catalog.training, "fit", lambda table, used, **k: seen.append((table, used)))
+    monkeypatch.setattr(catalog.training, "predict", lambda model, table, used: table.withColumn("prob", F.lit(0.0)))
+    catalog.queries()["gbt_match"](spark, str(tmp_path))
+    table, used = seen[0]
+    assert used == features.FEATURES and set(used) <= set(table.columns)
+    assert table.filter("name_jw > 0 and name_jw < 1 and name_partial > 0").count()
